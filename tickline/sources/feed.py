@@ -64,6 +64,17 @@ def _array_pick(values: list[str], index: Column) -> Column:
     return F.array(*[F.lit(v) for v in values])[index]
 
 
+def spread_input(events: DataFrame) -> DataFrame:
+    """Hash-spread an input that arrives in fewer splits than the cluster has
+    cores (one Parquet row group is one split). A large input already has
+    enough splits and is left alone, so no shuffle is added at scale."""
+    spark = events.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() >= cores:
+        return events
+    return events.repartition(cores, "event_id")
+
+
 def build_feed(events: DataFrame, dirt: bool = True) -> DataFrame:
     """``events`` -> bronze rows (raw_value, kafka_topic, kafka_partition,
     kafka_offset, kafka_ts, ingested_at, ingest_date).
@@ -72,7 +83,7 @@ def build_feed(events: DataFrame, dirt: bool = True) -> DataFrame:
     columns, so no large expression is repeated in the plan. Needs the
     session zone pinned to UTC (see ``tickline.session``).
     """
-    base = events.select(
+    base = spread_input(events).select(
         F.col("event_id").alias("id"),
         F.col("user_id"),
         F.col("event_type").isin(*TRADE_EVENT_TYPES).alias("is_trade"),
