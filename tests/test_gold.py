@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickline.functions.finance import ANNUALISATION
-from tickline.operators.bars import build_ohlcv_1m, build_ohlcv_1m_by_join
+from tickline.operators.bars import build_ohlcv_1m, build_ohlcv_1m_single_aggregate
 from tickline.operators.risk import build_symbol_risk_daily, minute_returns
 
 T = dt.datetime(2024, 1, 2, 10, 0, 0)
@@ -61,7 +61,7 @@ def test_union_aggregate_equals_join_form(spark):
     rows = [("S%d" % (i % 3), "NYSE", i, T + dt.timedelta(seconds=7 * i), 100.0 + i % 11, float(i % 5)) for i in range(300)]
     trs = [("t%d" % i, "S%d" % (i % 3), T + dt.timedelta(seconds=13 * i), 1 + i % 9, (1 + i % 9) * 100.0) for i in range(200)]
     a = build_ohlcv_1m(ticks(spark, rows), trades(spark, trs))
-    b = build_ohlcv_1m_by_join(ticks(spark, rows), trades(spark, trs)).select(*a.columns)
+    b = build_ohlcv_1m_single_aggregate(ticks(spark, rows), trades(spark, trs)).select(*a.columns)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
