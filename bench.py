@@ -131,14 +131,17 @@ def main() -> None:
     results: dict[str, float] = {}
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
 
-    for label in ("cold", "warm"):
+    # One cold run (JVM, code generation, file listing caches), then two warm
+    # runs on fresh lakes; the better warm run is the headline value.
+    for label in ("cold", "warm1", "warm2"):
         lake = Lake(f"{scratch}/lake_{label}")
         pipe = Pipeline(spark, lake)
         results[f"pipeline_{label}"] = timed(lambda: pipe.run(build_feed(events)))
         for stage, sec in pipe.report.seconds.items():
             results[f"pipeline_{label}.{stage}"] = sec
+    results["pipeline_warm"] = min(results["pipeline_warm1"], results["pipeline_warm2"])
 
-    lake = Lake(f"{scratch}/lake_warm")
+    lake = Lake(f"{scratch}/lake_warm2")
     ticks = spark.read.parquet(lake.path("silver", "ticks"))
     trades = spark.read.parquet(lake.path("silver", "trades"))
     results["stored.bars_aggregates_join"] = timed(lambda: materialise(bars_ops.build_ohlcv_1m(ticks, trades)))

@@ -9,11 +9,16 @@ Rule = tuple[str, Column]
 
 
 def tick_rules() -> list[Rule]:
-    """Quote rules, in the order they are tried."""
+    """Quote rules, in the order they are tried.
+
+    ``nan_price`` is an addition: a JSON ``NaN`` parses to a double NaN,
+    which is neither NULL nor <= 0 and would otherwise reach silver.
+    """
     bid, ask = F.col("bid"), F.col("ask")
     return [
         ("null_symbol", F.col("symbol").isNull()),
         ("null_prices", bid.isNull() | ask.isNull()),
+        ("nan_price", F.isnan(bid) | F.isnan(ask)),
         ("non_positive_price", (bid <= 0) | (ask <= 0)),
         ("crossed_quote", ask < bid),
         ("bad_timestamp", F.col("event_ts_parsed").isNull()),
@@ -26,6 +31,7 @@ def trade_rules() -> list[Rule]:
     return [
         ("null_trade_id", F.col("trade_id").isNull()),
         ("null_price", price.isNull()),
+        ("nan_price", F.isnan(price)),
         ("non_positive_price", price <= 0),
         ("null_qty", qty.isNull()),
         ("non_positive_qty", qty <= 0),
