@@ -26,6 +26,8 @@ from tickline.session import scratch_path
 from tickline.sources import tables
 from tickline.sources.bronze import land_text, with_bronze_metadata
 from tickline.sources.feed import TOPIC_TICKS, TOPIC_TRADES, as_kafka_records
+from tickline.streaming.bronze_stream import read_kafka_files, start_bronze_stream
+from tickline.streaming.incremental import stream_bars, stream_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -370,6 +372,43 @@ def q_compact(spark, sf_dir):
     return rounded(spark.read.parquet(path))
 
 
+# --------------------------------------------------------------- streaming
+def q_stream_bronze(spark, sf_dir):
+    """The feed as Kafka-shaped files, ingested by the bronze stream
+    (checkpointed, available-now trigger), read back without clock columns."""
+    root = scratch_path(spark, "stream_bronze")
+    as_kafka_records(_lin(spark, sf_dir).bronze).write.parquet(f"{root}/topic_log")
+    q = start_bronze_stream(
+        read_kafka_files(spark, f"{root}/topic_log"), f"{root}/bronze", f"{root}/checkpoint", trigger={"availableNow": True}
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/bronze").drop("ingested_at", "ingest_date")
+
+
+def q_stream_bars(spark, sf_dir):
+    """Bronze streamed through incremental silver into windowed bars.
+
+    The stored bronze is one micro-batch; the following no-data batch moves
+    the watermark to (latest event time - 10 minutes) and emits every bar
+    that closed before it. Bars still open at the end are not emitted.
+    """
+    lin = _lin(spark, sf_dir)
+    root = scratch_path(spark, "stream_bars")
+    lin.bronze.write.parquet(f"{root}/bronze")
+    bronze = spark.readStream.schema(lin.bronze.schema).parquet(f"{root}/bronze")
+    s = stream_silver(bronze)
+    q = (
+        stream_bars(s["ticks"], s["trades"])
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{root}/bars")
+    )
+    q.awaitTermination()
+    return rounded(spark.read.parquet(f"{root}/bars"))
+
+
 QUERIES: dict[str, Query] = {
     "feed_bronze": q_feed_bronze,
     "bronze_envelope": q_bronze_envelope,
@@ -417,4 +456,6 @@ QUERIES: dict[str, Query] = {
     "publish_gold": q_publish_gold,
     "publish_records": q_publish_records,
     "compact": q_compact,
+    "stream_bronze": q_stream_bronze,
+    "stream_bars": q_stream_bars,
 }
