@@ -18,6 +18,7 @@ from __future__ import annotations
 import logging
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -56,11 +57,21 @@ def _write_observed(df: DataFrame, name: str, write) -> int:
     return int(obs.get["rows"])
 
 
+def _concurrently(tasks: dict[str, callable]) -> dict:
+    """Run independent Spark actions as concurrent jobs (one driver thread
+    each). Small jobs then share the executors instead of queueing; the
+    first failure is raised after all have finished."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, lake: Lake, run_id: str | None = None):
         self.spark = spark
         self.lake = lake
         self.report = RunReport(run_id or uuid.uuid4().hex[:8])
+        self._ledger_rows: list[dict] = []
 
     # --------------------------------------------------------------- helpers
     def _path(self, layer: str, table: str) -> str:
@@ -70,22 +81,24 @@ class Pipeline:
         return tables.read_table(self.spark, self.lake, layer, table)
 
     def _ledger(self, job: str, status: str, rows_in: int, rows_out: int, started: datetime) -> None:
-        tables.append_ledger(
-            self.spark,
-            self._path("ops", "pipeline_runs"),
-            [
-                {
-                    "run_id": self.report.run_id,
-                    "job_name": job,
-                    "status": status,
-                    "rows_in": rows_in,
-                    "rows_out": rows_out,
-                    "started_at": started,
-                    "finished_at": datetime.now(timezone.utc),
-                }
-            ],
+        """Record a stage in the run ledger (written once per run, see ``flush_ledger``)."""
+        self._ledger_rows.append(
+            {
+                "run_id": self.report.run_id,
+                "job_name": job,
+                "status": status,
+                "rows_in": rows_in,
+                "rows_out": rows_out,
+                "started_at": started,
+                "finished_at": datetime.now(timezone.utc),
+            }
         )
 
+    def flush_ledger(self) -> None:
+        if self._ledger_rows:
+            tables.append_ledger(self.spark, self._path("ops", "pipeline_runs"), self._ledger_rows)
+            self._ledger_rows = []
+
     def _gate(self, results: DataFrame) -> None:
         """Persist first, then enforce: a failing run still leaves its audit rows."""
         rows = results.collect()  # a few dozen result rows
@@ -122,8 +135,16 @@ class Pipeline:
         tagged = parse_all(bronze).observe(obs, F.count(F.lit(1)).alias("rows"))
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # One pass parses bronze into the cache (and counts it); the five
+            # writes then read the cache as concurrent jobs.
+            tagged.write.format("noop").mode("overwrite").save()
+            bronze_rows = int(obs.get["rows"])
+            if bronze_rows == 0:
+                self._ledger("silver", "failed", 0, 0, started)
+                self.flush_ledger()
+                raise EmptyBronzeError("Bronze is empty: is the ingest running?")
             out = build_silver(bronze, tagged=tagged)
-            counts = {}
+            tasks = {}
             for name, df in out.tables().items():
                 part = ["trade_date"] if name in ("ticks", "trades") else None
 
@@ -133,13 +154,10 @@ class Pipeline:
                         w = w.partitionBy(*part)
                     w.parquet(self._path("silver", name))
 
-                counts[name] = _write_observed(df, f"silver_{name}", write)
-            bronze_rows = int(obs.get["rows"])
+                tasks[name] = lambda df=df, name=name, write=write: _write_observed(df, f"silver_{name}", write)
+            counts = _concurrently(tasks)
         finally:
             tagged.unpersist()
-        if bronze_rows == 0:
-            self._ledger("silver", "failed", 0, 0, started)
-            raise EmptyBronzeError("Bronze is empty: is the ingest running?")
         counts["bronze"] = bronze_rows
         self.report.counts.update({f"silver_{k}" if k != "bronze" else k: v for k, v in counts.items()})
         self._ledger("silver", "success", bronze_rows, counts["ticks"] + counts["trades"], started)
@@ -170,8 +188,12 @@ class Pipeline:
 
     def publish(self) -> None:
         """Serving copies, replaced per trade date: a re-run never doubles rows."""
-        tables.publish(self._read("gold", "ohlcv_1m"), self._path("serving", "ohlcv_1m"), ["trade_date"])
-        tables.publish(self._read("gold", "symbol_risk_daily"), self._path("serving", "symbol_risk_daily"), ["trade_date"])
+        _concurrently(
+            {
+                t: lambda t=t: tables.publish(self._read("gold", t), self._path("serving", t), ["trade_date"])
+                for t in ("ohlcv_1m", "symbol_risk_daily")
+            }
+        )
 
     def marts(self) -> None:
         bars = marts.stg_bars(self._read("serving", "ohlcv_1m"))
@@ -179,8 +201,16 @@ class Pipeline:
         dim = marts.dim_symbol(read_seed(self.spark), risk)
         dim.write.mode("overwrite").parquet(self._path("marts", "dim_symbol"))
         dim = self._read("marts", "dim_symbol")
-        marts.daily_performance(risk, dim).write.mode("overwrite").parquet(self._path("marts", "daily_performance"))
-        marts.intraday_liquidity(bars).write.mode("overwrite").parquet(self._path("marts", "intraday_liquidity"))
+        _concurrently(
+            {
+                "daily_performance": lambda: marts.daily_performance(risk, dim)
+                .write.mode("overwrite")
+                .parquet(self._path("marts", "daily_performance")),
+                "intraday_liquidity": lambda: marts.intraday_liquidity(bars)
+                .write.mode("overwrite")
+                .parquet(self._path("marts", "intraday_liquidity")),
+            }
+        )
 
     def dq_marts(self) -> None:
         frames = {name: self._read("marts", name) for name in MART_CONTRACTS}
@@ -201,15 +231,18 @@ class Pipeline:
 
     def run(self, bronze: DataFrame | None = None) -> RunReport:
         """Full gated run. ``bronze`` (optional) is landed first."""
-        if bronze is not None:
-            self._timed("land_bronze", lambda: self.land_bronze(bronze))
-        self._timed("silver", self.silver)
-        self._timed("dq_silver", self.dq_silver)
-        self._timed("gold", self.gold)
-        self._timed("dq_gold", self.dq_gold)
-        self._timed("publish", self.publish)
-        self._timed("marts", self.marts)
-        self._timed("dq_marts", self.dq_marts)
+        try:
+            if bronze is not None:
+                self._timed("land_bronze", lambda: self.land_bronze(bronze))
+            self._timed("silver", self.silver)
+            self._timed("dq_silver", self.dq_silver)
+            self._timed("gold", self.gold)
+            self._timed("dq_gold", self.dq_gold)
+            self._timed("publish", self.publish)
+            self._timed("marts", self.marts)
+            self._timed("dq_marts", self.dq_marts)
+        finally:
+            self.flush_ledger()
         return self.report
 
 
