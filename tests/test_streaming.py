@@ -107,3 +107,29 @@ def test_streaming_bars_equal_batch_inside_watermark(spark, tmpdir_path):
     silver = build_silver(static.where(F.col("kafka_offset") <= 18))
     want = {r["minute"]: (r["open"], r["close"], r["tick_count"]) for r in build_ohlcv_1m(silver.ticks, silver.trades).collect()}
     assert got == want  # 10:30 and 10:31 are still open; the late tick is in no bar
+
+
+def test_late_split_matches_batch_definition(spark, tmpdir_path):
+    from tickline.operators.ops import late_events
+    from tickline.operators.silver import parse_all
+    from tickline.streaming.late_split import start_late_split
+
+    t = [T + dt.timedelta(minutes=m) for m in (0, 30, 5, 31, 12, 40, 29)]
+    batches = [[("GS", tick_json(i, ts), i)] for i, ts in enumerate(t)]
+    batches[1].append(("MS", tick_json(100, T, symbol="MS"), 100))
+    stream, static = bronze_stream_of(spark, tmpdir_path, batches)
+
+    def parsed(df):
+        tagged = parse_all(df)
+        return tagged.where(F.col("event_type") == "tick").select(
+            "symbol", "kafka_offset", F.col("event_ts_parsed").alias("event_ts")
+        )
+
+    root = os.path.join(tmpdir_path, "split")
+    q = start_late_split(parsed(stream), root, os.path.join(tmpdir_path, "c3"), trigger={"availableNow": True})
+    q.awaitTermination()
+    got = sorted(r["kafka_offset"] for r in spark.read.parquet(os.path.join(root, "late")).collect())
+    want = sorted(r["kafka_offset"] for r in late_events(parsed(static)).collect())
+    assert got == want == [2, 4, 6]
+    on_time = spark.read.parquet(os.path.join(root, "on_time")).count()
+    assert on_time + len(got) == static.count()

@@ -137,7 +137,9 @@ def conservation(bronze: DataFrame, silver: SilverOutputs) -> DataFrame:
     return out.withColumn("accounted", accounted).withColumn("balanced", F.col("accounted") == F.col("bronze"))
 
 
-def late_events(parsed: DataFrame, allowed: str = LATE_AFTER, chunk: int = 1 << 20) -> DataFrame:
+def late_events(
+    parsed: DataFrame, allowed: str = LATE_AFTER, chunk: int = 1 << 20, carried_in: DataFrame | None = None
+) -> DataFrame:
     """Events that arrive later than ``allowed`` behind what their symbol had
     already shown: event_ts < max(event_ts of earlier offsets, same symbol) - allowed.
 
@@ -147,6 +149,9 @@ def late_events(parsed: DataFrame, allowed: str = LATE_AFTER, chunk: int = 1 <<
     runs over those per-chunk values (one row per chunk, small), (3) each
     chunk scans its own rows and starts from the prefix of the chunks before
     it. No task ever holds more than one chunk of one symbol.
+
+    ``carried_in`` (symbol, high_water_ts) is the high-water mark left by
+    earlier input (a previous micro-batch); it is one row per symbol.
     """
     rows = parsed.where(F.col("event_ts").isNotNull() & F.col("symbol").isNotNull()).withColumn(
         "_chunk", F.floor(F.col("kafka_offset") / F.lit(chunk))
@@ -160,6 +165,10 @@ def late_events(parsed: DataFrame, allowed: str = LATE_AFTER, chunk: int = 1 <<
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     scanned = rows.withColumn("_seen", F.max("event_ts").over(inside)).join(carried, ["symbol", "_chunk"], "left")
-    high_water = F.greatest(F.col("_seen"), F.col("_carry"))
+    parts = [F.col("_seen"), F.col("_carry")]
+    if carried_in is not None:
+        scanned = scanned.join(carried_in.select("symbol", F.col("high_water_ts").alias("_before")), "symbol", "left")
+        parts.append(F.col("_before"))
+    high_water = F.greatest(*parts)
     lateness = F.col("event_ts") < high_water - F.expr(f"INTERVAL {allowed}")
-    return scanned.where(lateness).withColumn("high_water_ts", high_water).drop("_chunk", "_seen", "_carry")
+    return scanned.where(lateness).withColumn("high_water_ts", high_water).drop("_chunk", "_seen", "_carry", "_before")
