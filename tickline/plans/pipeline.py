@@ -72,6 +72,7 @@ class Pipeline:
         self.lake = lake
         self.report = RunReport(run_id or uuid.uuid4().hex[:8])
         self._ledger_rows: list[dict] = []
+        self.touched_trade_dates: list | None = None
 
     # --------------------------------------------------------------- helpers
     def _path(self, layer: str, table: str) -> str:
@@ -128,9 +129,19 @@ class Pipeline:
         self.report.counts["bronze_landed"] = n
         return n
 
-    def silver(self) -> dict[str, int]:
+    def silver(self, ingest_dates: list | None = None) -> dict[str, int]:
+        """Bronze -> silver tables and quarantine.
+
+        Without ``ingest_dates`` silver is rebuilt from all of bronze. With a
+        list of ingest dates only those bronze partitions are read (partition
+        pruning); see ``_merge_silver`` for how the stored silver is updated.
+        Quarantine tables are partitioned by ingest date and replaced per
+        date, so re-running a date never doubles its rows.
+        """
         started = datetime.now(timezone.utc)
         bronze = self._read("bronze", "events")
+        if ingest_dates is not None:
+            bronze = bronze.where(F.col("ingest_date").isin(*ingest_dates))
         obs = Observation("bronze_rows")
         tagged = parse_all(bronze).observe(obs, F.count(F.lit(1)).alias("rows"))
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
@@ -144,18 +155,30 @@ class Pipeline:
                 self.flush_ledger()
                 raise EmptyBronzeError("Bronze is empty: is the ingest running?")
             out = build_silver(bronze, tagged=tagged)
+            incremental = ingest_dates is not None
             tasks = {}
             for name, df in out.tables().items():
-                part = ["trade_date"] if name in ("ticks", "trades") else None
-
-                def write(d, name=name, part=part):
-                    w = d.write.mode("overwrite")
-                    if part:
-                        w = w.partitionBy(*part)
+                if name in ("ticks", "trades"):
+                    if incremental:
+                        df = self._merge_silver(name, df)
+                    part = "trade_date"
+                else:
+                    df = df.withColumn("ingest_date", F.to_date("ingested_at")) if "ingest_date" not in df.columns else df
+                    part = "ingest_date"
+
+                def write(d, name=name, part=part, dynamic=incremental or part == "ingest_date"):
+                    w = d.write.mode("overwrite").partitionBy(part)
+                    if dynamic:
+                        w = w.option("partitionOverwriteMode", "dynamic")
                     w.parquet(self._path("silver", name))
 
                 tasks[name] = lambda df=df, name=name, write=write: _write_observed(df, f"silver_{name}", write)
             counts = _concurrently(tasks)
+            if incremental:
+                # The trade dates this slice touched: a handful of dates,
+                # read from the silver rows it produced.
+                touched = out.ticks.select("trade_date").unionByName(out.trades.select("trade_date")).distinct()
+                self.touched_trade_dates = sorted(r[0] for r in touched.collect() if r[0] is not None)
         finally:
             tagged.unpersist()
         counts["bronze"] = bronze_rows
@@ -163,22 +186,63 @@ class Pipeline:
         self._ledger("silver", "success", bronze_rows, counts["ticks"] + counts["trades"], started)
         return counts
 
+    def _merge_silver(self, name: str, fresh: DataFrame) -> DataFrame:
+        """New silver rows merged with the stored rows of the trade dates they touch.
+
+        A redelivered copy can arrive on a later ingest date than the
+        original; both carry the same event time, hence the same trade date.
+        So the stored rows of the touched trade dates (a semi-join on the
+        partition column: dynamic partition pruning reads only those dates)
+        are unioned with the new rows and de-duplicated again with the same
+        total order. The result is checkpointed into the shared checkpoint
+        folder, which cuts its lineage to the stored files, so those
+        partitions can then be overwritten safely.
+        """
+        from tickline.operators.silver import DEDUPE_ORDER, TICK_KEY, TRADE_KEY, dedupe
+        from tickline.session import checkpoint_root
+
+        key = TICK_KEY if name == "ticks" else TRADE_KEY
+        try:
+            stored = self._read("silver", name)
+        except Exception:  # noqa: BLE001 - first run: nothing stored yet
+            return fresh
+        touched = fresh.select("trade_date").distinct()
+        old = stored.join(touched, "trade_date", "left_semi").select(*fresh.columns)
+        merged = dedupe(old.unionByName(fresh), key, DEDUPE_ORDER)
+        checkpoint_root(self.spark)
+        return merged.checkpoint(eager=True)
+
     def dq_silver(self) -> None:
         ticks = run_contract(self._read("silver", "ticks"), load_builtin("silver_ticks"))
         trades = run_contract(self._read("silver", "trades"), load_builtin("silver_trades"))
         self._gate(ticks.unionByName(trades))
 
-    def gold(self) -> dict[str, int]:
+    def gold(self, trade_dates: list | None = None) -> dict[str, int]:
+        """Silver -> bars -> risk. With ``trade_dates`` only those dates are
+        read (partition pruning) and their partitions replaced; bars and risk
+        never span two trade dates, so other dates stay valid."""
         started = datetime.now(timezone.utc)
         ticks, trades = self._read("silver", "ticks"), self._read("silver", "trades")
+        if trade_dates is not None:
+            ticks = ticks.where(F.col("trade_date").isin(*trade_dates))
+            trades = trades.where(F.col("trade_date").isin(*trade_dates))
+
+        def writer(path: str):
+            def write(d):
+                w = d.write.mode("overwrite").partitionBy("trade_date")
+                if trade_dates is not None:
+                    w = w.option("partitionOverwriteMode", "dynamic")
+                w.parquet(path)
+
+            return write
+
         bars = bars_ops.build_ohlcv_1m(ticks, trades)
-        n_bars = _write_observed(
-            bars, "bars", lambda d: d.write.mode("overwrite").partitionBy("trade_date").parquet(self._path("gold", "ohlcv_1m"))
-        )
-        risk = risk_ops.build_symbol_risk_daily(self._read("gold", "ohlcv_1m"))
-        n_risk = _write_observed(
-            risk, "risk", lambda d: d.write.mode("overwrite").parquet(self._path("gold", "symbol_risk_daily"))
-        )
+        n_bars = _write_observed(bars, "bars", writer(self._path("gold", "ohlcv_1m")))
+        stored = self._read("gold", "ohlcv_1m")
+        if trade_dates is not None:
+            stored = stored.where(F.col("trade_date").isin(*trade_dates))
+        risk = risk_ops.build_symbol_risk_daily(stored)
+        n_risk = _write_observed(risk, "risk", writer(self._path("gold", "symbol_risk_daily")))
         self.report.counts.update({"ohlcv_1m": n_bars, "symbol_risk_daily": n_risk})
         self._ledger("gold", "success", self.report.counts.get("silver_ticks", 0), n_bars, started)
         return {"ohlcv_1m": n_bars, "symbol_risk_daily": n_risk}
@@ -229,14 +293,16 @@ class Pipeline:
         )
         self._gate(results.unionByName(rel))
 
-    def run(self, bronze: DataFrame | None = None) -> RunReport:
-        """Full gated run. ``bronze`` (optional) is landed first."""
+    def run(self, bronze: DataFrame | None = None, ingest_dates: list | None = None) -> RunReport:
+        """Gated run. ``bronze`` (optional) is landed first. With
+        ``ingest_dates`` only those bronze dates are processed and only the
+        trade dates they touch are rebuilt in silver and gold."""
         try:
             if bronze is not None:
                 self._timed("land_bronze", lambda: self.land_bronze(bronze))
-            self._timed("silver", self.silver)
+            self._timed("silver", lambda: self.silver(ingest_dates))
             self._timed("dq_silver", self.dq_silver)
-            self._timed("gold", self.gold)
+            self._timed("gold", lambda: self.gold(self.touched_trade_dates if ingest_dates is not None else None))
             self._timed("dq_gold", self.dq_gold)
             self._timed("publish", self.publish)
             self._timed("marts", self.marts)
