@@ -81,7 +81,7 @@ def test_quarantine_gate(spark, tmpdir_path):
 
 
 def test_conservation_is_exact(spark):
-    row = Lineage(spark, SF_SMALL).__class__(spark, SF_SMALL)
+    row = Lineage(spark, SF_SMALL)
     from tickline.operators.ops import conservation
 
     r = conservation(row.bronze, row.silver).first()

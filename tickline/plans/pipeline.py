@@ -314,7 +314,14 @@ class Pipeline:
 
 def run_ops_daily(spark: SparkSession, lake: Lake) -> dict:
     """Quarantine triage: counts by reason, then the quarantine-rate gate."""
-    read = lambda t: tables.read_table(spark, lake, "silver", t)
+    from pyspark.sql.types import DateType, StructField, StructType
+
+    from tickline.operators.silver import silver_schemas
+
+    schemas = silver_schemas(spark)
+    for name in ("quarantine_ticks", "quarantine_trades"):
+        schemas[name] = StructType(schemas[name].fields + [StructField("ingest_date", DateType())])
+    read = lambda t: tables.read_table(spark, lake, "silver", t, schema=schemas[t])
     quarantine = {t: read(t) for t in ("quarantine_ticks", "quarantine_trades", "quarantine_unparsed")}
     report = [r.asDict() for r in ops.quarantine_report(quarantine).collect()]
     rate = ops.quarantine_rate(

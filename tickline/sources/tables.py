@@ -23,8 +23,13 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
 
-def read_table(spark: SparkSession, lake: Lake, layer: str, table: str) -> DataFrame:
-    return spark.read.format(lake.fmt).load(lake.path(layer, table))
+def read_table(spark: SparkSession, lake: Lake, layer: str, table: str, schema=None) -> DataFrame:
+    """Read a lake table. Pass ``schema`` for tables that may be empty: an
+    empty partitioned write leaves no data file to infer a schema from."""
+    reader = spark.read.format(lake.fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(lake.path(layer, table))
 
 
 def write_table(
