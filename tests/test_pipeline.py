@@ -168,3 +168,21 @@ def test_incremental_run_equals_full_run(spark, tmpdir_path):
         Pipeline(spark, inc).run(ingest_dates=[d])
     for layer, name in (("gold", "ohlcv_1m"), ("gold", "symbol_risk_daily"), ("marts", "daily_performance")):
         assert table_rows(spark, full, layer, name) == table_rows(spark, inc, layer, name), name
+
+
+def test_clustered_spreads_a_hot_partition(spark):
+    # One date holds 90 % of the rows: it must get several buckets, not one task.
+    # AQE would merge these tiny shuffle partitions into one; at scale each
+    # bucket holds about rows_per_file rows and is left alone.
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = spark.range(1000).withColumn("d", F.when(F.col("id") < 900, F.lit("hot")).otherwise(F.lit("cold")))
+        out = tables.clustered(df, ["d"], rows_per_file=100)
+        per_task = out.groupBy(F.spark_partition_id().alias("p"), "d").count().collect()
+    finally:
+        spark.conf.set(key, before)
+    hot_tasks = [r["count"] for r in per_task if r["d"] == "hot"]
+    assert len(hot_tasks) >= 5 and max(hot_tasks) < 900
+    assert sorted(r[0] for r in out.select("id").collect()) == list(range(1000))

@@ -56,15 +56,43 @@ def write_table(
     return path
 
 
-def publish(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> str:
+# Rows per output file when a table is laid out per partition.
+ROWS_PER_FILE = 2_000_000
+
+
+def clustered(df: DataFrame, partition_by: list[str], rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Cluster rows by partition value with as many tasks per value as its size needs.
+
+    Repartitioning by the partition columns alone sends every row of one
+    value to one task: a date holding a third of the table would be written
+    by a single task. Here the rows per value are counted first (one small
+    row per value), each value gets ceil(rows / rows_per_file) buckets, and
+    a row goes to bucket hash(row) mod buckets: deterministic, so a retried
+    task after an executor loss routes every row the same way.
+    """
+    keys = [F.col(c) for c in partition_by]
+    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_buckets"))
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    bucket = F.pmod(row_hash, F.col("_buckets").cast("long"))
+    return (
+        df.join(sizes, partition_by, "left")
+        .withColumn("_bucket", bucket)
+        .repartition(*keys, F.col("_bucket"))
+        .drop("_buckets", "_bucket")
+        .select(*df.columns)
+    )
+
+
+def publish(
+    df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet", rows_per_file: int = ROWS_PER_FILE
+) -> str:
     """Idempotent load into a serving table: delete-then-insert per partition.
 
     Loading the same rows twice leaves the table as after one load; loading
-    a new date adds it without touching older ones. Rows are clustered by
-    the partition columns first so each partition is written by few tasks.
+    a new date adds it without touching older ones.
     """
     (
-        df.repartition(*partition_by)
+        clustered(df, partition_by, rows_per_file)
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -78,11 +106,11 @@ def compact(
     spark: SparkSession,
     path: str,
     partition_by: list[str],
-    target_files_per_partition: int = 1,
+    rows_per_file: int = ROWS_PER_FILE,
     fmt: str = "parquet",
     sort_by: list[str] | None = None,
 ) -> str:
-    """Rewrite a partitioned table into few files per partition.
+    """Rewrite a partitioned table into few, evenly sized files per partition.
 
     Overwriting a path that is being read is unsafe, so the rows are first
     written to a staging folder next to the table, then the staging copy
@@ -91,21 +119,13 @@ def compact(
     """
     staging = f"{path.rstrip('/')}_compact_{uuid.uuid4().hex[:8]}"
     current = spark.read.format(fmt).load(path)
-    # Deterministic spread inside a partition (a hash of the row), so a
-    # retried task after an executor loss routes every row the same way.
-    salt = (
-        F.pmod(F.xxhash64(*[F.col(c) for c in current.columns]), F.lit(target_files_per_partition))
-        if target_files_per_partition > 1
-        else F.lit(0)
-    )
-    shaped = current.repartition(*[F.col(c) for c in partition_by], salt)
+    shaped = clustered(current, partition_by, rows_per_file)
     if sort_by:
         shaped = shaped.sortWithinPartitions(*sort_by)
     shaped.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(staging)
     staged = spark.read.format(fmt).load(staging)
     (
-        staged.repartition(*partition_by)
-        .write.format(fmt)
+        staged.write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
