@@ -326,6 +326,16 @@ def q_dq_latest(spark, sf_dir):
     )
 
 
+def q_dq_latest_share(spark, sf_dir):
+    """Share of passed checks among the latest 50 results (the dashboard gauge)."""
+    latest = q_dq_latest(spark, sf_dir)
+    out = latest.agg(F.count_if("passed").alias("passed_checks"), F.count(F.lit(1)).alias("shown_checks"))
+    return rounded(
+        out.withColumn("pass_share", F.col("passed_checks") / F.greatest(F.col("shown_checks"), F.lit(1))),
+        {"pass_share": 9},
+    )
+
+
 # ------------------------------------------------------------ tables / sinks
 def q_publish_gold(spark, sf_dir):
     """Load the bars twice into a serving table; the table equals one load."""
@@ -453,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "dq_relationships": q_dq_relationships,
     "dq_pass_rate": q_dq_pass_rate,
     "dq_latest": q_dq_latest,
+    "dq_latest_share": q_dq_latest_share,
     "publish_gold": q_publish_gold,
     "publish_records": q_publish_records,
     "compact": q_compact,

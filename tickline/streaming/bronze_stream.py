@@ -69,3 +69,19 @@ def start_bronze_stream(
         .trigger(**trigger)
         .start(bronze_path)
     )
+
+
+def write_kafka(records: DataFrame, bootstrap: str) -> None:
+    """Publish (topic, key, value) records to the broker with idempotent,
+    fully acknowledged, lz4-compressed producers. Needs the spark-sql-kafka
+    package; ``records`` comes from routing events by kind and keying them
+    by symbol (see the ``publish_records`` query)."""
+    (
+        records.selectExpr("topic", "CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap)
+        .option("kafka.acks", "all")
+        .option("kafka.enable.idempotence", "true")
+        .option("kafka.compression.type", "lz4")
+        .save()
+    )
