@@ -170,19 +170,20 @@ def test_incremental_run_equals_full_run(spark, tmpdir_path):
         assert table_rows(spark, full, layer, name) == table_rows(spark, inc, layer, name), name
 
 
-def test_clustered_spreads_a_hot_partition(spark):
-    # One date holds 90 % of the rows: it must get several buckets, not one task.
-    # AQE would merge these tiny shuffle partitions into one; at scale each
-    # bucket holds about rows_per_file rows and is left alone.
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
+def test_clustered_spreads_a_hot_partition(spark, tmpdir_path):
+    # One date holds 90 % of the rows: adaptive execution must split it over
+    # several writing tasks. Tiny advisory size so that 18,000 rows count as skewed.
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    path = os.path.join(tmpdir_path, "out")
     try:
-        df = spark.range(1000).withColumn("d", F.when(F.col("id") < 900, F.lit("hot")).otherwise(F.lit("cold")))
-        out = tables.clustered(df, ["d"], rows_per_file=100)
-        per_task = out.groupBy(F.spark_partition_id().alias("p"), "d").count().collect()
+        df = spark.range(0, 20000, 1, 8).withColumn("d", F.when(F.col("id") < 18000, F.lit("hot")).otherwise(F.lit("cold")))
+        tables.clustered(df, ["d"]).write.partitionBy("d").parquet(path)
     finally:
-        spark.conf.set(key, before)
-    hot_tasks = [r["count"] for r in per_task if r["d"] == "hot"]
-    assert len(hot_tasks) >= 5 and max(hot_tasks) < 900
-    assert sorted(r[0] for r in out.select("id").collect()) == list(range(1000))
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    hot_files = [f for f in os.listdir(os.path.join(path, "d=hot")) if f.endswith(".parquet")]
+    assert len(hot_files) >= 4
+    assert sorted(r[0] for r in spark.read.parquet(path).select("id").collect()) == list(range(20000))

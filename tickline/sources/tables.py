@@ -56,31 +56,22 @@ def write_table(
     return path
 
 
-# Rows per output file when a table is laid out per partition.
+# Upper bound on rows per output file when a table is laid out per partition.
 ROWS_PER_FILE = 2_000_000
 
 
-def clustered(df: DataFrame, partition_by: list[str], rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
-    """Cluster rows by partition value with as many tasks per value as its size needs.
+def clustered(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Cluster rows by partition value, splitting values that are too big.
 
-    Repartitioning by the partition columns alone sends every row of one
-    value to one task: a date holding a third of the table would be written
-    by a single task. Here the rows per value are counted first (one small
-    row per value), each value gets ceil(rows / rows_per_file) buckets, and
-    a row goes to bucket hash(row) mod buckets: deterministic, so a retried
-    task after an executor loss routes every row the same way.
+    A plain ``repartition(partition columns)`` sends every row of one value
+    to one task: a date holding a third of the table would be written by a
+    single task. The ``rebalance`` hint hash-partitions on the same columns
+    and lets adaptive execution split a skewed partition into tasks of the
+    advisory size (and merge tiny ones), measured at runtime with no extra
+    pass over the data. The shuffle is by column hash, so a retried task
+    after an executor loss reads the same rows.
     """
-    keys = [F.col(c) for c in partition_by]
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).alias("_buckets"))
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    bucket = F.pmod(row_hash, F.col("_buckets").cast("long"))
-    return (
-        df.join(sizes, partition_by, "left")
-        .withColumn("_bucket", bucket)
-        .repartition(*keys, F.col("_bucket"))
-        .drop("_buckets", "_bucket")
-        .select(*df.columns)
-    )
+    return df.hint("rebalance", *partition_by)
 
 
 def publish(
@@ -92,10 +83,11 @@ def publish(
     a new date adds it without touching older ones.
     """
     (
-        clustered(df, partition_by, rows_per_file)
+        clustered(df, partition_by)
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*partition_by)
         .save(path)
     )
@@ -119,10 +111,16 @@ def compact(
     """
     staging = f"{path.rstrip('/')}_compact_{uuid.uuid4().hex[:8]}"
     current = spark.read.format(fmt).load(path)
-    shaped = clustered(current, partition_by, rows_per_file)
+    shaped = clustered(current, partition_by)
     if sort_by:
         shaped = shaped.sortWithinPartitions(*sort_by)
-    shaped.write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(staging)
+    (
+        shaped.write.format(fmt)
+        .mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
+        .partitionBy(*partition_by)
+        .save(staging)
+    )
     staged = spark.read.format(fmt).load(staging)
     (
         staged.write.format(fmt)
