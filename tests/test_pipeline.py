@@ -187,3 +187,23 @@ def test_clustered_spreads_a_hot_partition(spark, tmpdir_path):
     hot_files = [f for f in os.listdir(os.path.join(path, "d=hot")) if f.endswith(".parquet")]
     assert len(hot_files) >= 4
     assert sorted(r[0] for r in spark.read.parquet(path).select("id").collect()) == list(range(20000))
+
+
+def test_text_landing_and_table_io(spark, tmpdir_path):
+    from tickline.sources.bronze import land_text, read_text_lines
+
+    lin = Lineage(spark, SF_SMALL)
+    text = os.path.join(tmpdir_path, "events.jsonl")
+    lin.bronze.select("raw_value").write.text(text)
+    landed = land_text(read_text_lines(spark, text))
+    assert landed.count() == 1017
+    assert landed.select("kafka_offset").distinct().count() == 1017
+    assert sorted(r[0] for r in landed.select("raw_value").collect()) == sorted(
+        r[0] for r in lin.bronze.select("raw_value").collect()
+    )
+    lake = Lake(os.path.join(tmpdir_path, "lake"))
+    bars = lin.bars
+    tables.write_table(bars, lake, "gold", "bars", mode="overwrite", partition_by=["trade_date"])
+    one_day = bars.where(F.col("trade_date") == F.lit("2024-01-02").cast("date"))
+    tables.write_table(one_day, lake, "gold", "bars", mode="overwrite", partition_by=["trade_date"], dynamic=True)
+    assert tables.read_table(spark, lake, "gold", "bars").count() == bars.count()

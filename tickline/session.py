@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -82,13 +81,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tickline/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain-Python helpers can read local paths."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def env_flag(name: str, default: bool = False) -> bool:
-    value = os.environ.get(name)
-    return default if value is None else value.lower() in {"1", "true", "yes"}

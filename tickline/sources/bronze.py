@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickline.schemas import BRONZE_COLUMNS
 
 
 def with_bronze_metadata(kafka_df: DataFrame) -> DataFrame:
@@ -47,7 +46,3 @@ def land_text(lines: DataFrame, topic: str = "local.file", partition: int = 0) -
 def read_text_lines(spark, path: str) -> DataFrame:
     """JSON-lines files as a one-column ``value`` frame (splittable text scan)."""
     return spark.read.text(path)
-
-
-def bronze_only(df: DataFrame) -> DataFrame:
-    return df.select(*BRONZE_COLUMNS)
