@@ -151,16 +151,12 @@ class Pipeline:
             bronze = bronze.where(F.col("ingest_date").isin(*ingest_dates))
         obs = Observation("bronze_rows")
         tagged = parse_all(bronze).observe(obs, F.count(F.lit(1)).alias("rows"))
+        if bronze.isEmpty():  # reads at most one row
+            self._ledger("silver", "failed", 0, 0, started)
+            self.flush_ledger()
+            raise EmptyBronzeError("Bronze is empty: is the ingest running?")
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # One pass parses bronze into the cache (and counts it); the five
-            # writes then read the cache as concurrent jobs.
-            tagged.write.format("noop").mode("overwrite").save()
-            bronze_rows = int(obs.get["rows"])
-            if bronze_rows == 0:
-                self._ledger("silver", "failed", 0, 0, started)
-                self.flush_ledger()
-                raise EmptyBronzeError("Bronze is empty: is the ingest running?")
             out = build_silver(bronze, tagged=tagged)
             incremental = ingest_dates is not None
             tasks = {}
@@ -180,7 +176,11 @@ class Pipeline:
                     w.parquet(self._path("silver", name))
 
                 tasks[name] = lambda df=df, name=name, write=write: _write_observed(df, f"silver_{name}", write)
-            counts = _concurrently(tasks)
+            # The first write parses bronze into the cache (and counts it);
+            # the other four then read the cache as concurrent jobs.
+            counts = {"ticks": tasks.pop("ticks")()}
+            counts.update(_concurrently(tasks))
+            bronze_rows = int(obs.get["rows"])
             if incremental:
                 # The trade dates this slice touched: a handful of dates,
                 # read from the silver rows it produced.
