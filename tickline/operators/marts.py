@@ -100,7 +100,7 @@ def daily_performance(risk_stage: DataFrame, dim: DataFrame) -> DataFrame:
         "var_95_log_ret",
         "max_drawdown",
         "avg_spread_bps",
-        F.rank().over(w).alias("liquidity_rank"),
+        F.rank().over(w).cast("bigint").alias("liquidity_rank"),  # bigint, as SQL engines type rank()
         finance.vol_bucket(F.col("realised_vol_annualised")).alias("vol_bucket"),
     )
 
