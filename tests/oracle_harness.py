@@ -36,14 +36,30 @@ def _norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
 def compare(spark_df, con, sql: str) -> dict:
     s_cols = spark_df.columns
+    s_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in spark_df.dtypes}
     s_rows = [tuple(r) for r in spark_df.collect()]
-    res = con.execute(sql)
-    d_cols = [c[0] for c in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
+    d_rows = rel.fetchall()
     out = {"spark_rows": len(s_rows), "oracle_rows": len(d_rows)}
     out["columns_match"] = sorted(s_cols) == sorted(d_cols)
+    out["types_match"] = s_types == d_types
+    if not out["types_match"]:
+        out["type_diff"] = {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
     if not out["columns_match"]:
         out["spark_cols"], out["oracle_cols"] = sorted(s_cols), sorted(d_cols)
         return out

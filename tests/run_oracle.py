@@ -38,7 +38,7 @@ def main() -> int:
             bad += 1
             print(f"{name:24s} ERROR {type(exc).__name__}: {str(exc)[:600]}")
             continue
-        ok = r.get("columns_match") and r.get("values_match") and r["spark_rows"] == r["oracle_rows"]
+        ok = r.get("columns_match") and r.get("types_match") and r.get("values_match") and r["spark_rows"] == r["oracle_rows"]
         bad += not ok
         print(f"{name:24s} {'OK ' if ok else 'BAD'} {time.time() - t:5.1f}s {r}")
     print("failures:", bad)

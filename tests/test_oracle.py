@@ -23,6 +23,7 @@ def test_query_matches_oracle(spark, con, name):
         return
     r = compare(df, con, ORACLE[name])
     assert r["columns_match"], r
+    assert r["types_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
 
