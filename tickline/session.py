@@ -40,6 +40,8 @@ def build_session(
         **ADAPTIVE_CONF,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # Checkpoint files written to cut lineage are removed once unreferenced.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
