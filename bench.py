@@ -156,6 +156,23 @@ def main() -> None:
     )
     results["stored.dq_ticks_job_per_check"] = timed(lambda: naive_contract(ticks, "silver_ticks"))
 
+    # Skew: one symbol holds a third of the quotes; one dedupe key holds a
+    # third of all rows (a storm of redeliveries). Same sizes as uniform.
+    from tickline.operators.silver import TICK_KEY, dedupe
+
+    hot_symbol = ticks.withColumn("symbol", F.when(F.col("seq") % 3 == 0, F.lit("HOT")).otherwise(F.col("symbol")))
+    results["skew.bars_uniform"] = timed(lambda: materialise(bars_ops.build_ohlcv_1m(ticks, trades)))
+    results["skew.bars_hot_symbol_third"] = timed(lambda: materialise(bars_ops.build_ohlcv_1m(hot_symbol, trades)))
+    hot = F.col("seq") % 3 == 0
+    copies = ticks.select(
+        *[c for c in ticks.columns if c not in TICK_KEY],
+        F.when(hot, F.lit("GS")).otherwise(F.col("symbol")).alias("symbol"),
+        F.when(hot, F.lit("NYSE")).otherwise(F.col("venue")).alias("venue"),
+        F.when(hot, F.lit(0)).otherwise(F.col("seq")).alias("seq"),
+    )
+    results["skew.dedupe_uniform"] = timed(lambda: materialise(dedupe(ticks, TICK_KEY)))
+    results["skew.dedupe_hot_key_third"] = timed(lambda: materialise(dedupe(copies, TICK_KEY)))
+
     for name in HEADLINE:
         df = QUERIES[name](spark, sf_dir)
         results[f"query.{name}"] = timed(lambda: materialise(df))
