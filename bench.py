@@ -26,7 +26,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tickline.operators import bars as bars_ops  # noqa: E402
 from tickline.plans.catalog import QUERIES  # noqa: E402
-from tickline.plans.lineage import Lineage  # noqa: E402
 from tickline.plans.pipeline import Pipeline  # noqa: E402
 from tickline.quality.contracts import load_builtin  # noqa: E402
 from tickline.session import build_session  # noqa: E402

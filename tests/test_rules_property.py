@@ -6,7 +6,6 @@ import math
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tickline.functions.rules import first_true_reason, tick_rules, trade_rules
 

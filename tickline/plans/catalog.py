@@ -14,7 +14,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.functions.timecols import bar_start
 from tickline.operators import bars as bars_ops
 from tickline.operators import ops, risk as risk_ops, serving
 from tickline.operators.silver import TICK_KEY, TRADE_KEY, dedupe, parse_bronze
