@@ -43,7 +43,11 @@ def test_full_run_then_rerun_is_identical(spark, tmpdir_path):
     audit = spark.read.parquet(lake.path("ops", "dq_results"))
     assert audit.select("run_id").distinct().count() == 2
     ledger = spark.read.parquet(lake.path("ops", "pipeline_runs"))
-    assert ledger.where("status = 'success'").count() == 4
+    stages = ["silver", "dq_silver", "gold", "dq_gold", "publish", "marts", "dq_marts"]
+    first = {r["job_name"]: r for r in ledger.where(F.col("run_id") == rep.run_id).collect()}
+    assert set(first) == {"land_bronze", *stages} and all(r["status"] == "success" for r in first.values())
+    assert first["silver"]["rows_in"] == 1017 and first["gold"]["rows_out"] == 526
+    assert ledger.count() == len(first) + len(stages)
 
 
 def test_empty_bronze_raises(spark, tmpdir_path):
@@ -64,9 +68,12 @@ def test_failed_check_is_recorded_then_raised(spark, tmpdir_path):
     os.rename(lake.path("silver", "ticks"), lake.path("silver", "ticks_old"))
     os.rename(lake.path("silver", "ticks_bad"), lake.path("silver", "ticks"))
     with pytest.raises(ContractViolationError):
-        p.dq_silver()
+        p._timed("dq_silver", p.dq_silver)
     audit = spark.read.parquet(lake.path("ops", "dq_results"))
     assert audit.where("check_name = 'bid.range' AND NOT passed").count() == 1
+    p.flush_ledger()
+    ledger = spark.read.parquet(lake.path("ops", "pipeline_runs"))
+    assert [r["status"] for r in ledger.where("job_name = 'dq_silver'").collect()] == ["failed"]
 
 
 def test_quarantine_gate(spark, tmpdir_path):

@@ -74,6 +74,7 @@ class Pipeline:
         self._ledger_rows: list[dict] = []
         self.touched_trade_dates: list | None = None
         self._bars_results: list | None = None
+        self._stage_rows: dict[str, tuple[int | None, int | None]] = {}
 
     # --------------------------------------------------------------- helpers
     def _path(self, layer: str, table: str) -> str:
@@ -118,9 +119,18 @@ class Pipeline:
         enforce(rows)
 
     def _timed(self, name: str, fn):
+        """Run one stage: time it and record it in the run ledger, also when it fails."""
+        started = datetime.now(timezone.utc)
         t = time.perf_counter()
-        out = fn()
-        self.report.seconds[name] = round(time.perf_counter() - t, 3)
+        self._stage_rows.pop(name, None)
+        try:
+            out = fn()
+        except Exception:
+            self._ledger(name, "failed", *self._stage_rows.get(name, (None, None)), started)
+            raise
+        finally:
+            self.report.seconds[name] = round(time.perf_counter() - t, 3)
+        self._ledger(name, "success", *self._stage_rows.get(name, (None, None)), started)
         return out
 
     # ---------------------------------------------------------------- stages
@@ -128,12 +138,13 @@ class Pipeline:
         """Append landed rows to bronze, partitioned by ingest date and topic."""
         n = _write_observed(
             bronze,
-            "bronze",
+            "bronze_landed",
             lambda d: d.write.mode("append").partitionBy("ingest_date", "kafka_topic").parquet(
                 self._path("bronze", "events")
             ),
         )
         self.report.counts["bronze_landed"] = n
+        self._stage_rows["land_bronze"] = (n, n)
         return n
 
     def silver(self, ingest_dates: list | None = None) -> dict[str, int]:
@@ -145,15 +156,13 @@ class Pipeline:
         Quarantine tables are partitioned by ingest date and replaced per
         date, so re-running a date never doubles its rows.
         """
-        started = datetime.now(timezone.utc)
         bronze = self._read("bronze", "events")
         if ingest_dates is not None:
             bronze = bronze.where(F.col("ingest_date").isin(*ingest_dates))
         obs = Observation("bronze_rows")
         tagged = parse_all(bronze).observe(obs, F.count(F.lit(1)).alias("rows"))
         if bronze.isEmpty():  # reads at most one row
-            self._ledger("silver", "failed", 0, 0, started)
-            self.flush_ledger()
+            self._stage_rows["silver"] = (0, 0)
             raise EmptyBronzeError("Bronze is empty: is the ingest running?")
         tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -190,7 +199,7 @@ class Pipeline:
             tagged.unpersist()
         counts["bronze"] = bronze_rows
         self.report.counts.update({f"silver_{k}" if k != "bronze" else k: v for k, v in counts.items()})
-        self._ledger("silver", "success", bronze_rows, counts["ticks"] + counts["trades"], started)
+        self._stage_rows["silver"] = (bronze_rows, counts["ticks"] + counts["trades"])
         return counts
 
     def _merge_silver(self, name: str, fresh: DataFrame) -> DataFrame:
@@ -228,7 +237,6 @@ class Pipeline:
         """Silver -> bars -> risk. With ``trade_dates`` only those dates are
         read (partition pruning) and their partitions replaced; bars and risk
         never span two trade dates, so other dates stay valid."""
-        started = datetime.now(timezone.utc)
         ticks, trades = self._read("silver", "ticks"), self._read("silver", "trades")
         if trade_dates is not None:
             ticks = ticks.where(F.col("trade_date").isin(*trade_dates))
@@ -263,7 +271,7 @@ class Pipeline:
         n_risk = done["risk"]
         self._bars_results = done["bars_contract"]
         self.report.counts.update({"ohlcv_1m": n_bars, "symbol_risk_daily": n_risk})
-        self._ledger("gold", "success", self.report.counts.get("silver_ticks", 0), n_bars, started)
+        self._stage_rows["gold"] = (self.report.counts.get("silver_ticks"), n_bars)
         return {"ohlcv_1m": n_bars, "symbol_risk_daily": n_risk}
 
     def dq_gold(self) -> None:
