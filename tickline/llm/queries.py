@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, substring_dedup
+from . import decontam, quality_rules, substring_dedup
 from .common import read_table, ship_package
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    scored = quality_rules.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"), trusted)
+    return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("text_key", "kept_text")
 
@@ -28,6 +34,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 _ALL = [
+    op4_quality_rules,
     op9_substring_dedup,
     op10_benchmark_decontamination,
 ]
