@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tickline.session import checkpoint_root
 
 CHUNK_BYTES = 2 << 20
+CHUNK_ROWS = 1 << 15
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -217,6 +218,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES)
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, side="right")) - 1)
+        j = min(j, i + CHUNK_ROWS)
         yield i, j, raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
 

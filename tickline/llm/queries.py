@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, quality_rules, substring_dedup
+from . import decontam, probminhash, quality_rules, substring_dedup
 from .common import read_table, ship_package
 
 
@@ -17,6 +17,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.classes(read_table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).drop("text_key", "kept_text")
 
@@ -35,6 +39,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 _ALL = [
     op4_quality_rules,
+    op8_minhash_near_dedup,
     op9_substring_dedup,
     op10_benchmark_decontamination,
 ]
