@@ -61,7 +61,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     with conf_set(spark, **{_CLEANUP.replace(".", "__"): "true"}):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialise`` that no later step reads."""
+    for table in tables:
+        jvm, conf = table.sparkSession._jvm, table.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(conf).delete(path, True)
 
 
 _SHIPPED = "tickline-package.zip"

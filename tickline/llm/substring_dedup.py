@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_TABLE, Words, as_long, chunks, find_words, list_column, materialise, mix, text_key, window_hash
+from .common import SPACE_TABLE, Words, as_long, chunks, discard, find_words, materialise, mix, text_key, window_hash
 
 
 def _minimisers(words: Words, h: np.ndarray, short: int, span: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,13 +109,8 @@ def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("text"))
 
 
-def repeated_windows(docs: DataFrame, length: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All windows of ``length`` words that occur in two or more documents.
-
-    Returns ``doc_id, text_key, pos, h, h2, first_doc``, a row for each start
-    position; ``h, h2`` (96 bits) identify the word sequence and ``first_doc``
-    is the smallest id it occurs in.
-    """
+def _windows_and_first(docs: DataFrame, length: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Stored tables: candidate windows with their positions, and the first id of the repeated ones."""
     short = (length + 1) // 2
     span = length - short + 1
     base = _base(docs, id_col, text_col).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
@@ -123,11 +118,24 @@ def repeated_windows(docs: DataFrame, length: int = 13, id_col: str = "doc_id",
     anchors = materialise(base.select("doc_id", "text").mapInArrow(_first_level(short, span), f"h long, doc_id {id_type}, pos int"), "anchors")
     repeated = materialise(anchors.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("h"), "repeated")
     found = materialise(anchors.join(repeated, "h").select("doc_id", "pos"), "found")
+    discard(anchors, repeated)
     by_doc = found.groupBy("doc_id").agg(F.collect_list("pos").alias("found"))  # at most a text's own positions
     windows = base.join(by_doc, "doc_id").mapInArrow(_second_level(short, span, length), f"doc_id {id_type}, text_key long, pos int, h long, h2 int")
-    windows = materialise(windows.select("doc_id", "text_key", "pos", "h", "h2"), "windows")
+    windows = materialise(windows, "windows")
+    discard(found)
     first = windows.groupBy("h", "h2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("b")).where("first_doc < b").drop("b")
-    return windows.join(materialise(first, "first"), ["h", "h2"]).select("doc_id", "text_key", "pos", "h", "h2", "first_doc")
+    return windows, materialise(first, "first")
+
+
+def repeated_windows(docs: DataFrame, length: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All windows of ``length`` words that occur in two or more documents.
+
+    Returns ``doc_id, text_key, pos, h, h2, first_doc``, a row for each start
+    position; ``h, h2`` (96 bits) identify the word sequence and ``first_doc``
+    is the smallest id it occurs in.
+    """
+    windows, first = _windows_and_first(docs, length, id_col, text_col)
+    return windows.join(first, ["h", "h2"]).select("doc_id", "text_key", "pos", "h", "h2", "first_doc")
 
 
 def extend(windows: DataFrame, length: int) -> tuple[DataFrame, int]:
@@ -205,8 +213,9 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
     """
     base = _base(docs, id_col, text_col)
     id_type = base.schema["doc_id"].dataType.simpleString()
-    later = repeated_windows(docs, length, id_col, text_col).where("first_doc < doc_id").select("doc_id", "text_key", "pos")
-    later = materialise(later, "later")
+    windows, first = _windows_and_first(docs, length, id_col, text_col)
+    later = materialise(windows.join(first, ["h", "h2"]).where("first_doc < doc_id").select("doc_id", "text_key", "pos"), "later")
+    discard(windows, first)
     # a row for each text and position: repeated rows give the same position twice
     spans = later.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("found"))
     joined = base.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text_key", "text", "found")
