@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, probminhash, quality_rules, substring_dedup
+from . import decontam, line_dedup, probminhash, quality_rules, substring_dedup
 from .common import read_table, ship_package
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(read_table(spark, sf_dir, "documents")).drop("text_key", "kept_text")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     scored = quality_rules.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"), trusted)
@@ -38,6 +42,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 _ALL = [
+    op1_line_dedup,
     op4_quality_rules,
     op8_minhash_near_dedup,
     op9_substring_dedup,
