@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, probminhash, quality_rules, substring_dedup
+from . import decontam, license_digest, line_dedup, probminhash, pu_quality, quality_rules, sp_sampling, substring_dedup, toxicity, warc
 from .common import read_table, ship_package
 
 
@@ -15,12 +15,49 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(read_table(spark, sf_dir, "documents")).drop("text_key", "kept_text")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    labels = read_table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
+    lexicon, curve = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs, lexicon, curve)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.round_trip(read_table(spark, sf_dir, "pages"))
+    return captures.select(
+        F.col("metadata.fields")["page-id"].cast("long").alias("page_id"),
+        F.col("capture.payload_bytes").alias("payload_bytes"),
+        F.col("capture.payload_digest").alias("payload_digest"),
+        "record_type",
+        F.col("metadata.fields")["refers-to-page"].cast("long").alias("refers_to"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = read_table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     scored = quality_rules.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"), trusted)
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op6_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_sampling.sample_segmentations(read_table(spark, sf_dir, "documents"), digest=True).drop("ids")
+
+
+def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    positives = read_table(spark, sf_dir, "labels").where(~held_out & (F.col("quality") == 1)).select("doc_id")
+    net, prior = pu_quality.fit(docs, positives)
+    scored = pu_quality.score(docs, net, prior)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(read_table(spark, sf_dir, "documents"))
 
@@ -43,7 +80,12 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 _ALL = [
     op1_line_dedup,
+    op2_toxicity,
+    op3_warc,
     op4_quality_rules,
+    op5_license_scan,
+    op6_sentencepiece_sampling,
+    op7_pu_quality,
     op8_minhash_near_dedup,
     op9_substring_dedup,
     op10_benchmark_decontamination,
