@@ -33,3 +33,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
     if labels is None:
         labels = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return labels
+
+
+def merge_labels(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``node, label`` after more ``edges`` (``u, v``) between nodes, labelled so far or not."""
+    left = labels.select(F.col("node").alias("u"), F.col("label").alias("lu"))
+    right = labels.select(F.col("node").alias("v"), F.col("label").alias("lv"))
+    between = edges.select("u", "v").join(left, "u", "left").join(right, "v", "left")
+    between = between.select(F.coalesce("lu", "u").alias("u"), F.coalesce("lv", "v").alias("v"))
+    moved = connected_components(between).select(F.col("node").alias("from"), F.col("label").alias("to"))
+    # labels of components that were merged, and nodes that had no label so far
+    old = labels.join(moved, labels["label"] == moved["from"], "left").select("node", F.coalesce("to", "label").alias("label"))
+    new = moved.join(labels.select(F.col("node").alias("from")), "from", "left_anti").select(F.col("from").alias("node"), F.col("to").alias("label"))
+    return materialise(old.unionByName(new), "labels")

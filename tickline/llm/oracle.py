@@ -2,4 +2,103 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from .license_digest import COPYRIGHT_LINE, EQUIVALENT, OTHER
+from .license_texts import KNOWN
+from .warc import REVISIT_BYTES
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(expr: str) -> str:
+    out = f"regexp_replace(coalesce({expr}, ''), {_quoted(COPYRIGHT_LINE)}, chr(10), 'g')"
+    out = f"lower(' ' || regexp_replace({out}, {_quoted(OTHER)}, ' ', 'g') || ' ')"
+    out = f"replace({out}, '  ', ' ')"
+    for a, b in EQUIVALENT:
+        out = f"replace({out}, {_quoted(a)}, {_quoted(b)})"
+    return out
+
+
+_KNOWN_ROWS = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, texts in KNOWN.items() for text in texts)
+
+LICENSES = f"""
+WITH known AS (
+  SELECT sha256({_canonical("t.text")}) AS digest, min(t.license_id) AS license_id
+  FROM (VALUES {_KNOWN_ROWS}) AS t(license_id, text) GROUP BY 1
+), whole AS (
+  SELECT doc_id, text, sha256({_canonical("text")}) AS canonical_sha256 FROM documents
+), lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents
+), hits AS (
+  SELECT l.doc_id, string_agg(DISTINCT k.license_id, ',' ORDER BY k.license_id) AS found
+  FROM lines l JOIN known k ON sha256({_canonical("l.line")}) = k.digest GROUP BY 1
+)
+SELECT w.doc_id, w.canonical_sha256, k.license_id, coalesce(h.found, '') AS line_licenses
+FROM whole w LEFT JOIN known k ON w.canonical_sha256 = k.digest LEFT JOIN hits h ON w.doc_id = h.doc_id
+"""
+
+WARC = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, '')) AS n FROM pages
+), first AS (
+  SELECT payload, max(page_id) AS page_id FROM p WHERE n >= {REVISIT_BYTES} GROUP BY payload
+)
+SELECT p.page_id, p.n AS payload_bytes, p.payload_digest,
+       CASE WHEN f.page_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.page_id <> p.page_id THEN f.page_id END AS refers_to
+FROM p LEFT JOIN first f ON p.payload = f.payload
+"""
+
+REPEATS = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)
+), firsts AS (
+  SELECT k, min(doc_id) AS m FROM windows GROUP BY k
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos FROM windows JOIN firsts USING (k) WHERE m < doc_id
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM w
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n
+  FROM words ANTI JOIN covered USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+CONTAMINATION = f"""
+WITH items AS (
+  SELECT item_id, ws, least(13, len(ws)) AS n FROM (SELECT item_id, {_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0
+), grams AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[i:i + n - 1], ' ') AS k
+  FROM (SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM items)
+), w AS (
+  SELECT doc_id, {_WORDS} AS ws FROM documents
+), windows AS (
+  SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS k
+  FROM (SELECT doc_id, n, ws, unnest(range(1, len(ws) - n + 2)) AS i FROM w CROSS JOIN (SELECT DISTINCT n FROM grams) WHERE len(ws) >= n)
+), hits AS (
+  SELECT doc_id, item_id, n, i FROM windows JOIN grams USING (n, k)
+), covered AS (
+  SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS pos FROM hits) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_warc": WARC,
+    "op5_license_scan": LICENSES,
+    "op9_substring_dedup": REPEATS,
+    "op10_benchmark_decontamination": CONTAMINATION,
+}

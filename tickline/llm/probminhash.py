@@ -9,11 +9,12 @@ similarity, so bands of registers find candidates, which are verified with the
 exact J_P of the two multisets. For shingles that occur once, J_P is Jaccard.
 
 No bucket is expanded into all pairs. Texts that are equal are one node. In
-each bucket the most central member is compared with the others; as long as
-members that haven't been compared with each other lie in different classes,
-further pivots (twice as many each round) are taken from outside the central
-class. So the classes are the connected components of all links inside
-buckets, while a bucket of copies costs one comparison a member.
+each bucket the most central member (the one that meets most others in all its
+buckets) is compared with the rest, so a bucket costs one comparison a member.
+Nodes of a bucket that then still holds several classes are signed again with
+more registers and longer bands, whose smaller buckets have centres of their
+own. Classes are the connected components of the verified links. A link is
+missed if its two ends are never in a bucket where one of them is the centre.
 
 Defined cases: a text without words (null, empty, blank) is alone; one of under
 five words is a single shingle; rows of one id are one document; a null id has
@@ -30,11 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACE_TABLE, Words, chunks, find_words, list_column, materialise, mix, window_hash
-from .components import connected_components
+from .components import connected_components, merge_labels
 
 SHINGLE = 5
 REGISTERS = 64
 BAND = 4
+#: Registers and band length for nodes of buckets that the first bands leave divided.
+FINER = ((384, 8), (1024, 16))
 _ID_BITS = np.uint64(48)
 _ID_MASK = np.uint64((1 << 48) - 1)
 #: A pair is verified if this share of registers agrees; at similarity 0.8 one in 10,000 pairs has fewer.
@@ -96,10 +99,8 @@ def _sign(registers: int, band: int):
                 row, ids, weight = shingles(words)
                 sig = signatures(row, ids, weight, j - i, registers)
                 some = np.diff(words.first) > 0
-                bands = registers // band
-                acc = np.broadcast_to(mix(np.arange(1, bands + 1, dtype=np.uint64)), (j - i, bands)).copy()
-                for k in range(band):
-                    acc = mix(acc ^ sig[:, k::band][:, :bands])
+                acc = _bands(sig, band)
+                bands = acc.shape[1]
                 bounds = np.concatenate(([0], np.cumsum(some)))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -173,12 +174,58 @@ def _links(pairs: DataFrame, nodes: DataFrame, content: DataFrame, threshold: fl
     return materialise(joined.mapInArrow(_verify(threshold), f"u {kind}, v {kind}"), "links")
 
 
-def _main_and_outside(live: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets, their labels, and whether they lie outside the class of the bucket's first pivot."""
-    named = labels.select("node", "label")
-    out = live.join(named, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    main = named.select(F.col("node").alias("centre"), F.col("label").alias("main"))
-    return out.join(main, "centre", "left").withColumn("main", F.coalesce("main", "centre")).withColumn("outside", F.col("label") != F.col("main"))
+def _sign_content(registers: int, band: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                ids, weights = part.column(1), part.column(2)
+                size = np.diff(ids.offsets.to_numpy())
+                row = np.repeat(np.arange(part.num_rows), size)
+                flat = [c.flatten().to_numpy(zero_copy_only=False) for c in (ids, weights)]
+                sig = signatures(row, flat[0].astype(np.int64).view(np.uint64), flat[1], part.num_rows, registers)
+                bands = _bands(sig, band)
+                bounds = np.arange(part.num_rows + 1) * bands.shape[1]
+                yield pa.RecordBatch.from_arrays([part.column(0), list_column(bands.view(np.int64).ravel(), bounds)], names=["node", "bands"])
+
+    return run
+
+
+def _bands(sig: np.ndarray, band: int) -> np.ndarray:
+    n = sig.shape[1] // band
+    acc = np.broadcast_to(mix(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(band << 32)), (len(sig), n)).copy()
+    for k in range(band):
+        acc = mix(acc ^ sig[:, k::band][:, :n])
+    return acc
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``bucket, node`` rows with the node's class so far."""
+    if labels is None:
+        return rows.withColumn("label", F.col("node"))
+    return rows.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
+
+
+def _star(banded: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets that hold several classes, and the pairs of each with its bucket's most central node.
+
+    A node's centrality is the number of nodes it meets in all its buckets.
+    """
+    rows = _labelled(banded.select("node", F.explode("bands").alias("bucket")), labels)
+    sizes = materialise(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket", "size"), "sizes")
+    shared = materialise(rows.join(sizes, "bucket"), "shared")
+    score = materialise(shared.groupBy("node").agg(F.sum("size").alias("score")), "score")
+    ranked = materialise(shared.join(score, "node"), "ranked")
+    centre = materialise(ranked.groupBy("bucket").agg(F.max(F.struct("score", "node", "label")).alias("centre")), "centre")
+    pairs = ranked.join(centre, "bucket").where("label <> centre.label").select(F.col("node").alias("u"), F.col("centre.node").alias("v"))
+    return ranked.select("bucket", "node", "size"), pairs
+
+
+def _open_nodes(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes of buckets of three or more that still hold several classes."""
+    now = _labelled(members.where("size > 2").select("bucket", "node"), labels)
+    split = materialise(now.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("bucket"), "split")
+    return materialise(members.join(split, "bucket").select("node").distinct(), "open")
 
 
 def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS, band: int = BAND, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,35 +241,20 @@ def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS,
     firsts = own.where("doc_id = node").select("node").distinct()
     nodes = materialise(signed.withColumnRenamed("doc_id", "node").join(firsts, "node").dropDuplicates(["node"]).select("node", "bands", "sig"), "nodes")
 
-    rows = nodes.select("node", F.explode("bands").alias("bucket"))
-    sizes = materialise(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
-    shared = materialise(rows.join(sizes, "bucket"), "shared")
-    score = materialise(shared.groupBy("node").agg(F.sum("size").alias("score")), "score")
-    ranked = materialise(shared.join(score, "node").select("bucket", "node", "score"), "ranked")
-    centre = materialise(ranked.groupBy("bucket").agg(F.max(F.struct("score", "node")).getField("node").alias("centre")), "centre")
-    live = materialise(ranked.join(centre, "bucket").select("bucket", "centre", "node").where("node <> centre"), "live")
-
-    used = nodes.join(score.select("node"), "node", "left_semi").select("node")
+    members, pairs = _star(nodes, None)
+    used = members.select("node").distinct()
     content = base.select(F.col("doc_id").alias("node"), "text").join(used, "node", "left_semi").dropDuplicates(["node"])
     content = materialise(content.mapInArrow(_shingle_rows, f"node {kind}, ids array<long>, weights array<int>"), "content")
-
-    links = _links(live.select(F.col("centre").alias("u"), F.col("node").alias("v")), nodes, content, threshold)
-    pivots = 8
-    while True:
-        labels = connected_components(links)
-        named = materialise(_main_and_outside(live, labels), "named")
-        split = named.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.sum(F.col("outside").cast("int")).alias("n_outside"), F.max(F.when(F.col("outside"), F.col("node"))).alias("one"))
-        split = materialise(split.where("a <> b"), "split")
-        if split.isEmpty():
+    labels = connected_components(_links(pairs, nodes, content, threshold))
+    for finer_registers, finer_band in FINER:
+        left = _open_nodes(members, labels)
+        if left.isEmpty():
             break
-        held = materialise(named.join(split, "bucket").drop("a", "b"), "held")
-        chosen = F.col("outside") & ((F.col("node") == F.col("one")) | (F.pmod(F.xxhash64("node", F.lit(pivots)), F.col("n_outside")) < pivots))
-        taken = materialise(held.withColumn("taken", chosen), "taken")
-        chief = taken.where("taken").select("bucket", F.col("node").alias("u"), F.col("label").alias("lu"))
-        pairs = taken.join(chief, "bucket").where("label <> lu").select("u", F.col("node").alias("v"))
-        links = materialise(links.unionByName(_links(pairs, nodes, content, threshold)), "links")
-        live = materialise(taken.where("not taken").select("bucket", "centre", "node"), "live")
-        pivots *= 2
+        finer = content.join(left, "node", "left_semi").mapInArrow(_sign_content(finer_registers, finer_band), f"node {kind}, bands array<long>")
+        members, pairs = _star(materialise(finer, "finer"), labels)
+        links = _links(pairs, nodes, content, threshold)
+        if not links.isEmpty():
+            labels = merge_labels(labels, links)
 
     full = own.join(labels.withColumnRenamed("label", "class_id"), "node", "left").select("doc_id", F.coalesce("class_id", "node").alias("class_id"))
     # rows of one id with different texts are one document: its class is the smallest

@@ -81,7 +81,8 @@ def gram_ratios(docs: DataFrame, trusted: DataFrame, buckets: int, smoothing: fl
     """
     spark = docs.sparkSession
     good = trusted.toDF("__id").where(F.col("__id").isNotNull()).distinct().withColumn("__good", F.lit(1))
-    own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")).join(good, "__id", "left")
+    # labels grow with the corpus, so they are merged at every size and never broadcast
+    own = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")).join(good.hint("merge"), "__id", "left")
     grams = own.withColumn("__w", words_of(F.col("__t"))).select("__good", F.explode(_grams(buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("__good").alias("t"), F.count(F.lit(1)).alias("r"))
     every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counts, "bucket", "left").na.fill(0, ["t", "r"])
