@@ -24,12 +24,12 @@ def trades(spark, rows):
 
 
 def test_vwap_volume_and_trade_count(spark):
-    tk = ticks(spark, [("GS", "NYSE", 1, T.replace(second=1), 100.0, 1.0), ("GS", "NYSE", 2, T.replace(second=30), 110.0, 3.0)])
-    tr = trades(spark, [("a", "GS", T.replace(second=5), 10, 1000.0), ("b", "GS", T.replace(second=40), 30, 3300.0)])
+    tk = ticks(spark, [("GS", "NYSE", 1, T.replace(second=1), 41.5, 6.0), ("GS", "NYSE", 2, T.replace(second=52), 40.25, 9.0)])
+    tr = trades(spark, [("a", "GS", T.replace(second=8), 7, 287.0), ("b", "GS", T.replace(second=9), 1, 44.0), ("c", "GS", T.replace(second=59), 8, 333.0)])
     bar = build_ohlcv_1m(tk, tr).first()
-    assert bar["vwap"] == 107.5 and bar["volume"] == 40 and bar["trade_count"] == 2
-    assert (bar["open"], bar["high"], bar["low"], bar["close"]) == (100.0, 110.0, 100.0, 110.0)
-    assert bar["avg_spread_bps"] == 2.0 and bar["tick_count"] == 2
+    assert bar["vwap"] == 664.0 / 16 and bar["volume"] == 16 and bar["trade_count"] == 3
+    assert (bar["open"], bar["high"], bar["low"], bar["close"]) == (41.5, 41.5, 40.25, 40.25)
+    assert bar["avg_spread_bps"] == 7.5 and bar["tick_count"] == 2
 
 
 def test_minute_without_trades_keeps_null_vwap_and_zero_volume(spark):

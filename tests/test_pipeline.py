@@ -214,3 +214,121 @@ def test_text_landing_and_table_io(spark, tmpdir_path):
     one_day = bars.where(F.col("trade_date") == F.lit("2024-01-02").cast("date"))
     tables.write_table(one_day, lake, "gold", "bars", mode="overwrite", partition_by=["trade_date"], dynamic=True)
     assert tables.read_table(spark, lake, "gold", "bars").count() == bars.count()
+
+
+def test_unreadable_silver_stops_the_merge_and_keeps_the_table(spark, tmpdir_path, monkeypatch):
+    lake = Lake(os.path.join(tmpdir_path, "lake"))
+    p = Pipeline(spark, lake)
+    p.land_bronze(build_feed(events(spark)))
+    p.silver()
+    before = {n: table_rows(spark, lake, "silver", n) for n in ("ticks", "trades")}
+    date = spark.read.parquet(lake.path("bronze", "events")).first()["ingest_date"]
+    original = tables.read_if_exists
+
+    def broken(spark, path, fmt="parquet"):
+        if path.endswith("ticks"):
+            raise OSError("storage is away")
+        return original(spark, path, fmt)
+
+    monkeypatch.setattr(tables, "read_if_exists", broken)
+    with pytest.raises(OSError):
+        Pipeline(spark, lake).silver([date])
+    assert before == {n: table_rows(spark, lake, "silver", n) for n in ("ticks", "trades")}
+
+
+def test_missing_table_is_none_and_other_failures_are_raised(spark, tmpdir_path):
+    assert tables.read_if_exists(spark, os.path.join(tmpdir_path, "nowhere")) is None
+    bad = os.path.join(tmpdir_path, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "w") as f:
+        f.write("no parquet file")
+    with pytest.raises(Exception):  # noqa: B017 - whatever Spark says of a broken file
+        tables.read_if_exists(spark, bad)
+
+
+def test_rerun_removes_rows_that_are_gone(spark, tmpdir_path):
+    """A date whose bronze rows were taken away loses its silver and quarantine rows; other dates stay."""
+    feed = build_feed(events(spark))
+    lake = Lake(os.path.join(tmpdir_path, "lake"))
+    Pipeline(spark, lake).land_bronze(feed)
+    dates = sorted(r[0] for r in feed.select("ingest_date").distinct().collect())
+    for d in dates:
+        Pipeline(spark, lake).silver([d])
+    left = feed.where((F.col("ingest_date") != dates[0]) | (F.col("kafka_offset") % 2 == 0))
+    left.write.mode("overwrite").partitionBy("ingest_date", "kafka_topic").parquet(lake.path("bronze", "events"))
+    Pipeline(spark, lake).silver([dates[0]])
+    want = Lake(os.path.join(tmpdir_path, "want"))
+    Pipeline(spark, want).land_bronze(left)
+    Pipeline(spark, want).silver()
+    for name in ("ticks", "trades", "quarantine_ticks", "quarantine_trades", "quarantine_unparsed"):
+        assert table_rows(spark, lake, "silver", name) == table_rows(spark, want, "silver", name), name
+
+
+def test_rebuild_and_publish_drop_what_is_gone(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "v int, d string")
+    read = lambda: sorted(tuple(r) for r in spark.read.parquet(path).select("v", "d").collect())
+    tables.publish(df, path, ["d"])
+    tables.publish(df.where("d <> 'c'"), path, ["d"])
+    assert read() == [(1, "a"), (2, "b")]
+    tables.publish(df.where("d = 'b'").withColumn("v", F.lit(9)), path, ["d"], only=["a", "b"])
+    assert read() == [(9, "b")]
+    tables.publish(df, path, ["d"], only=["c"])
+    assert read() == [(3, "c"), (9, "b")]
+
+
+def test_compaction_bounds_and_sorts_files_and_keeps_new_ones(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"), (F.col("id") % 2).alias("d"))
+    df.repartition(9).write.partitionBy("d").parquet(path)
+    out = tables.compact(spark, path, ["d"], rows_per_file=1000, sort_by=["v"])
+    assert out["before"] == 18 and out["after"] >= 6
+    for name in spark.read.parquet(path).inputFiles():
+        values = [r["v"] for r in spark.read.parquet(name).collect()]
+        assert len(values) <= 1000 and values == sorted(values)
+    assert spark.read.parquet(path).count() == 5000
+    assert not [n for n in os.listdir(path) if n.startswith(("_staging", "_compaction"))]
+    assert tables.expire(spark, path, 168) == 0 and tables.expire(spark, path, 0) == 1
+    assert spark.read.parquet(path).count() == 5000
+
+
+def test_broken_off_compaction_is_finished_by_the_next(spark, tmpdir_path, monkeypatch):
+    path = os.path.join(tmpdir_path, "t")
+    spark.range(1000).withColumn("d", F.col("id") % 3).repartition(6).write.partitionBy("d").parquet(path)
+    move, calls = tables._move, []
+
+    def fails(spark, source, target):
+        calls.append(source)
+        if len(calls) == 20:
+            raise OSError("lost")
+        move(spark, source, target)
+
+    monkeypatch.setattr(tables, "_move", fails)
+    with pytest.raises(OSError):
+        tables.compact(spark, path, ["d"])
+    monkeypatch.setattr(tables, "_move", move)
+    tables.compact(spark, path, ["d"])
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(1000))
+
+
+def test_streamed_tables_are_refused(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "s")
+    spark.range(10).withColumn("d", F.lit(1)).write.parquet(f"{root}/in")
+    q = spark.readStream.schema("id long, d int").parquet(f"{root}/in").writeStream.format("parquet").partitionBy("d")
+    q.option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start(f"{root}/bronze/events").awaitTermination()
+    with pytest.raises(tables.StreamedTableError):
+        tables.compact(spark, f"{root}/bronze/events", ["d"])
+    with pytest.raises(tables.StreamedTableError):
+        Pipeline(spark, Lake(root)).land_bronze(build_feed(events(spark)))
+    assert spark.read.parquet(f"{root}/bronze/events").count() == 10
+
+
+def test_conservation_sees_a_lost_survivor(spark):
+    from dataclasses import replace
+
+    from tickline.operators import ops
+
+    lin = Lineage(spark, SF_SMALL)
+    assert ops.conservation(lin.bronze, lin.silver).first()["balanced"]
+    lost = replace(lin.silver, ticks=lin.silver.ticks.where("kafka_offset % 5 <> 0"))
+    assert not ops.conservation(lin.bronze, lost).first()["balanced"]

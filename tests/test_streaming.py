@@ -158,3 +158,24 @@ def test_streaming_silver_job_matches_batch_silver(spark, tmpdir_path):
         want = getattr(batch, name)
         assert got.count() == want.count(), name
         assert sorted(r["kafka_offset"] for r in got.collect()) == sorted(r["kafka_offset"] for r in want.collect())
+
+
+def test_late_split_keeps_every_row(spark, tmpdir_path):
+    """NULL symbols and times stay, and a tick and a trade with one offset are two rows."""
+    from tickline.streaming.late_split import split_batch
+
+    schema = "event_type string, symbol string, kafka_topic string, kafka_partition int, kafka_offset long, event_ts timestamp"
+    t = [T + dt.timedelta(minutes=m) for m in (0, 30, 1)]
+    rows = [("tick", "GS", "a", 0, 1, t[0]), ("tick", "GS", "a", 0, 2, t[1]), ("tick", "GS", "a", 0, 3, t[2]),
+            ("trade", "GS", "b", 0, 3, t[1]), ("tick", None, "a", 0, 4, t[0]), ("trade", "GS", "b", 0, 5, None)]
+    root = os.path.join(tmpdir_path, "split")
+    split_batch(spark.createDataFrame(rows, schema), 0, root)
+    later = [("tick", "GS", "a", 0, 6, t[0]), ("tick", "MS", "a", 0, 7, t[0])]
+    for _ in range(2):  # a retried batch replaces its own rows
+        split_batch(spark.createDataFrame(later, schema), 1, root)
+    split_batch(spark.createDataFrame([("tick", "GS", "a", 0, 8, t[1])], schema), 2, root)
+    late = spark.read.parquet(f"{root}/late").collect()
+    on_time = spark.read.parquet(f"{root}/on_time").collect()
+    assert sorted((r["event_type"], r["kafka_offset"]) for r in late) == [("tick", 3), ("tick", 6)]
+    assert len(late) + len(on_time) == len(rows) + len(later) + 1
+    assert sorted(os.listdir(f"{root}/high_water"))[-1] == "batch_id=2" and not os.path.exists(f"{root}/high_water/batch_id=0")

@@ -75,12 +75,12 @@ def dim_symbol(seed: DataFrame, risk_stage: DataFrame) -> DataFrame:
 def daily_performance(risk_stage: DataFrame, dim: DataFrame) -> DataFrame:
     """Risk rows with sector context, a liquidity rank per day and a vol bucket.
 
-    The dimension has exactly one row per seed symbol, so it is bounded by
-    the seed and broadcast; the fact side is never shuffled for the join.
-    liquidity_rank is ``rank()`` by total notional within the day: ties share
+    The dimension has one row per seed symbol; whether it is small enough to
+    broadcast is left to the planner, which knows its size. The rank orders
+    one day's rows, one row per symbol, in one task. liquidity_rank is ``rank()`` by total notional within the day: ties share
     a rank and the next rank skips.
     """
-    names = F.broadcast(dim.select("symbol", "company_name", "sector"))
+    names = dim.select("symbol", "company_name", "sector")
     w = Window.partitionBy("trade_date").orderBy(F.col("total_notional").desc_nulls_first())
     r = risk_stage.join(names, "symbol", "left")
     return r.select(

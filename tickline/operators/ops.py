@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickline.operators.silver import SilverOutputs
+from tickline.operators.silver import TICK_KEY, TRADE_KEY, SilverOutputs
 
 # ---------------------------------------------------------------- fixed values
 QUARANTINE_RATE_GATE = 0.05
@@ -72,13 +72,19 @@ def stage_counts(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _keys(tagged: DataFrame, kind: str, key: list[str]) -> DataFrame:
+    """The distinct business keys among the clean rows of a kind."""
+    return tagged.where((F.col("event_type") == kind) & F.col("quarantine_reason").isNull()).select(*key).distinct()
+
+
 def conservation(bronze: DataFrame, silver: SilverOutputs) -> DataFrame:
     """Every bronze row accounted for, exactly.
 
     bronze = unparsed + Σ over kinds (clean + duplicates + quarantined), where
     clean counts rows that pass every rule before de-duplication. One pass
-    over the tagged parse gives the per-kind splits; silver gives the
-    survivors, so duplicates = clean - survivors.
+    over the tagged parse gives the per-kind splits. Duplicates are counted
+    without silver, as clean rows less distinct keys; ``balanced`` also asks
+    that silver holds one row for each of those keys.
     """
     tagged = silver.tagged
     split = tagged.agg(
@@ -91,6 +97,8 @@ def conservation(bronze: DataFrame, silver: SilverOutputs) -> DataFrame:
     counts = stage_counts(
         {
             "bronze": bronze,
+            "tick_keys": _keys(tagged, "tick", TICK_KEY),
+            "trade_keys": _keys(tagged, "trade", TRADE_KEY),
             "silver_ticks": silver.ticks,
             "silver_trades": silver.trades,
             "quarantine_ticks": silver.quarantine_ticks,
@@ -103,6 +111,8 @@ def conservation(bronze: DataFrame, silver: SilverOutputs) -> DataFrame:
             F.max(F.when(F.col("stage") == s, F.col("rows"))).alias(s)
             for s in (
                 "bronze",
+                "tick_keys",
+                "trade_keys",
                 "silver_ticks",
                 "silver_trades",
                 "quarantine_ticks",
@@ -121,11 +131,12 @@ def conservation(bronze: DataFrame, silver: SilverOutputs) -> DataFrame:
         "bronze",
         "quarantine_unparsed",
         F.col("tick_clean").alias("ticks_clean"),
-        (F.col("tick_clean") - F.col("silver_ticks")).alias("ticks_duplicates"),
+        (F.col("tick_clean") - F.col("tick_keys")).alias("ticks_duplicates"),
         F.col("quarantine_ticks").alias("ticks_quarantined"),
         F.col("trade_clean").alias("trades_clean"),
-        (F.col("trade_clean") - F.col("silver_trades")).alias("trades_duplicates"),
+        (F.col("trade_clean") - F.col("trade_keys")).alias("trades_duplicates"),
         F.col("quarantine_trades").alias("trades_quarantined"),
+        ((F.col("silver_ticks") == F.col("tick_keys")) & (F.col("silver_trades") == F.col("trade_keys"))).alias("_survive"),
     )
     accounted = (
         F.col("quarantine_unparsed")
@@ -134,7 +145,8 @@ def conservation(bronze: DataFrame, silver: SilverOutputs) -> DataFrame:
         + F.col("trades_clean")
         + F.col("trades_quarantined")
     )
-    return out.withColumn("accounted", accounted).withColumn("balanced", F.col("accounted") == F.col("bronze"))
+    balanced = (F.col("accounted") == F.col("bronze")) & F.col("_survive")
+    return out.withColumn("accounted", accounted).withColumn("balanced", balanced).drop("_survive")
 
 
 def late_events(

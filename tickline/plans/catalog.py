@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 from tickline.operators import bars as bars_ops
 from tickline.operators import ops, risk as risk_ops, serving
-from tickline.operators.silver import TICK_KEY, TRADE_KEY, dedupe, parse_bronze
+from tickline.operators.silver import TICK_KEY, TRADE_KEY, dedupe, kind_rows
 from tickline.plans.lineage import Lineage
+from tickline.plans.pipeline import Pipeline
 from tickline.quality.checks import run_contract, source_freshness
 from tickline.quality.contracts import Contract, DatasetChecks, load_builtin
 from tickline.quality.marts import MART_CONTRACTS, SOURCE_FRESHNESS, mart_contract, relationships
+from tickline.schemas import TICK_COLUMNS, TRADE_COLUMNS
 from tickline.session import scratch_path
 from tickline.sources import tables
 from tickline.sources.bronze import land_text, with_bronze_metadata
@@ -82,12 +84,18 @@ def q_land_text(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ silver
+def _parsed(spark, sf_dir, kind):
+    """One kind's rows of the tagged parse that the pipeline runs."""
+    columns = TICK_COLUMNS if kind == "tick" else TRADE_COLUMNS
+    return kind_rows(_lin(spark, sf_dir).silver.tagged, kind, columns).drop("quarantine_reason")
+
+
 def q_parse_ticks(spark, sf_dir):
-    return parse_bronze(_lin(spark, sf_dir).bronze, "tick")
+    return _parsed(spark, sf_dir, "tick")
 
 
 def q_parse_trades(spark, sf_dir):
-    return parse_bronze(_lin(spark, sf_dir).bronze, "trade")
+    return _parsed(spark, sf_dir, "trade")
 
 
 def q_quarantine_ticks(spark, sf_dir):
@@ -103,12 +111,12 @@ def q_quarantine_unparsed(spark, sf_dir):
 
 
 def q_dedupe_ticks(spark, sf_dir):
-    parsed = parse_bronze(_lin(spark, sf_dir).bronze, "tick")
+    parsed = _parsed(spark, sf_dir, "tick")
     return dedupe(parsed, TICK_KEY).select(*TICK_KEY, "event_ts", "kafka_offset", "ingested_at")
 
 
 def q_dedupe_trades(spark, sf_dir):
-    parsed = parse_bronze(_lin(spark, sf_dir).bronze, "trade")
+    parsed = _parsed(spark, sf_dir, "trade")
     return dedupe(parsed, TRADE_KEY).select(*TRADE_KEY, "symbol", "event_ts", "kafka_offset", "ingested_at")
 
 
@@ -345,6 +353,27 @@ def q_publish_gold(spark, sf_dir):
     return rounded(spark.read.parquet(path))
 
 
+def q_publish_after_removal(spark, sf_dir):
+    """Load all bars, then a source without its first trade date: the serving table follows."""
+    bars = _lin(spark, sf_dir).bars
+    path = scratch_path(spark, "publish_after_removal")
+    tables.publish(bars, path, ["trade_date"])
+    first = spark.read.parquet(path).agg(F.min("trade_date")).first()[0]
+    tables.publish(bars.where(F.col("trade_date") > F.lit(first)), path, ["trade_date"])
+    return rounded(spark.read.schema(bars.schema).parquet(path))
+
+
+def q_incremental_silver(spark, sf_dir):
+    """Silver ticks built one ingest date at a time, the first of them twice."""
+    lake = tables.Lake(scratch_path(spark, "incremental_silver"))
+    bronze = _lin(spark, sf_dir).bronze
+    Pipeline(spark, lake).land_bronze(bronze)
+    dates = sorted(r[0] for r in bronze.select("ingest_date").distinct().collect())
+    for date in [*dates[:1], *dates]:
+        Pipeline(spark, lake).silver([date])
+    return tables.read_table(spark, lake, "silver", "ticks")
+
+
 def q_publish_records(spark, sf_dir):
     """Clean silver events routed to their topic, keyed by symbol, as JSON."""
     s = _lin(spark, sf_dir).silver
@@ -464,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "dq_latest": q_dq_latest,
     "dq_latest_share": q_dq_latest_share,
     "publish_gold": q_publish_gold,
+    "publish_after_removal": q_publish_after_removal,
+    "incremental_silver": q_incremental_silver,
     "publish_records": q_publish_records,
     "compact": q_compact,
     "stream_bronze": q_stream_bronze,

@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from tickline.operators import bars as bars_ops
 from tickline.operators import marts, ops, risk as risk_ops
-from tickline.operators.silver import build_silver, parse_all
+from tickline.operators.silver import DEDUPE_ORDER, TICK_KEY, TRADE_KEY, build_silver, dedupe, parse_all
 from tickline.quality.checks import enforce, run_contract
 from tickline.quality.contracts import load_builtin
 from tickline.quality.marts import MART_CONTRACTS, mart_contract, relationships
+from tickline.session import checkpoint_root
 from tickline.sources import tables
 from tickline.sources.seed import read_seed
 from tickline.sources.tables import Lake
@@ -66,6 +67,12 @@ def _concurrently(tasks: dict[str, callable]) -> dict:
         return {name: f.result() for name, f in futures.items()}
 
 
+def _publish_counted(df: DataFrame, name: str, path: str, partition_by: list[str], fmt: str, only: list | None = None) -> int:
+    rows = Observation(name)
+    tables.publish(df, path, partition_by, fmt, only=only, observed=rows)
+    return int(rows.get["rows"])
+
+
 class Pipeline:
     def __init__(self, spark: SparkSession, lake: Lake, run_id: str | None = None):
         self.spark = spark
@@ -136,12 +143,11 @@ class Pipeline:
     # ---------------------------------------------------------------- stages
     def land_bronze(self, bronze: DataFrame) -> int:
         """Append landed rows to bronze, partitioned by ingest date and topic."""
+        tables.refuse_streamed(self.spark, self._path("bronze", "events"))
         n = _write_observed(
             bronze,
             "bronze_landed",
-            lambda d: d.write.mode("append").partitionBy("ingest_date", "kafka_topic").parquet(
-                self._path("bronze", "events")
-            ),
+            lambda d: tables.write_table(d, self.lake, "bronze", "events", "append", ["ingest_date", "kafka_topic"]),
         )
         self.report.counts["bronze_landed"] = n
         self._stage_rows["land_bronze"] = (n, n)
@@ -150,11 +156,11 @@ class Pipeline:
     def silver(self, ingest_dates: list | None = None) -> dict[str, int]:
         """Bronze -> silver tables and quarantine.
 
-        Without ``ingest_dates`` silver is rebuilt from all of bronze. With a
-        list of ingest dates only those bronze partitions are read (partition
-        pruning); see ``_merge_silver`` for how the stored silver is updated.
-        Quarantine tables are partitioned by ingest date and replaced per
-        date, so re-running a date never doubles its rows.
+        Without ``ingest_dates`` silver and quarantine are rebuilt whole from
+        all of bronze. With a list of ingest dates only those bronze
+        partitions are read (partition pruning); exactly the quarantine
+        partitions of those dates and the silver partitions of the trade
+        dates they touch, now or before, are replaced, emptied ones included.
         """
         bronze = self._read("bronze", "events")
         if ingest_dates is not None:
@@ -168,33 +174,25 @@ class Pipeline:
         try:
             out = build_silver(bronze, tagged=tagged)
             incremental = ingest_dates is not None
+            if incremental:
+                self.touched_trade_dates = self._touched(out, ingest_dates)
             tasks = {}
             for name, df in out.tables().items():
-                if name in ("ticks", "trades"):
-                    if incremental:
-                        df = self._merge_silver(name, df)
-                    part = "trade_date"
-                else:
+                part, only = "trade_date", self.touched_trade_dates
+                if name not in ("ticks", "trades"):
                     df = df.withColumn("ingest_date", F.to_date("ingested_at")) if "ingest_date" not in df.columns else df
-                    part = "ingest_date"
-
-                def write(d, name=name, part=part, dynamic=incremental or part == "ingest_date"):
-                    w = d.write.mode("overwrite").partitionBy(part)
-                    if dynamic:
-                        w = w.option("partitionOverwriteMode", "dynamic")
-                    w.parquet(self._path("silver", name))
+                    part, only = "ingest_date", ingest_dates
+                elif incremental:
+                    df = self._merge_silver(name, df, ingest_dates)
 
-                tasks[name] = lambda df=df, name=name, write=write: _write_observed(df, f"silver_{name}", write)
+                tasks[name] = lambda df=df, name=name, part=part, only=only if incremental else None: _publish_counted(
+                    df, f"silver_{name}", self._path("silver", name), [part], self.lake.fmt, only
+                )
             # The first write parses bronze into the cache (and counts it);
             # the other four then read the cache as concurrent jobs.
             counts = {"ticks": tasks.pop("ticks")()}
             counts.update(_concurrently(tasks))
             bronze_rows = int(obs.get["rows"])
-            if incremental:
-                # The trade dates this slice touched: a handful of dates,
-                # read from the silver rows it produced.
-                touched = out.ticks.select("trade_date").unionByName(out.trades.select("trade_date")).distinct()
-                self.touched_trade_dates = sorted(r[0] for r in touched.collect() if r[0] is not None)
         finally:
             tagged.unpersist()
         counts["bronze"] = bronze_rows
@@ -202,35 +200,47 @@ class Pipeline:
         self._stage_rows["silver"] = (bronze_rows, counts["ticks"] + counts["trades"])
         return counts
 
-    def _merge_silver(self, name: str, fresh: DataFrame) -> DataFrame:
+    def _touched(self, out, ingest_dates: list) -> list:
+        """Trade dates that rows of ``ingest_dates`` have, or had when they were last stored."""
+        dates = out.ticks.select("trade_date").unionByName(out.trades.select("trade_date"))
+        for name in ("ticks", "trades"):
+            stored = tables.read_if_exists(self.spark, self._path("silver", name), self.lake.fmt)
+            if stored is not None:
+                dates = dates.unionByName(stored.where(F.to_date("ingested_at").isin(*ingest_dates)).select("trade_date"))
+        return sorted(r[0] for r in dates.distinct().collect() if r[0] is not None)
+
+    def _merge_silver(self, name: str, fresh: DataFrame, ingest_dates: list) -> DataFrame:
         """New silver rows merged with the stored rows of the trade dates they touch.
 
         A redelivered copy can arrive on a later ingest date than the
         original; both carry the same event time, hence the same trade date.
-        So the stored rows of the touched trade dates (a semi-join on the
-        partition column: dynamic partition pruning reads only those dates)
-        are unioned with the new rows and de-duplicated again with the same
-        total order. The result is checkpointed into the shared checkpoint
-        folder, which cuts its lineage to the stored files, so those
-        partitions can then be overwritten safely.
+        So the stored rows of the touched trade dates (a literal list, which
+        prunes partitions) that came from other ingest dates are unioned with
+        the new rows and de-duplicated with the same total order. Rows that
+        the re-run dates gave before are left out, so what a changed rule now
+        rejects goes. A copy that lost to such a row on another ingest date
+        comes back when that date is re-run, or on a full rebuild. The result
+        is checkpointed into the shared folder, which cuts its lineage to the
+        stored files, so those partitions can be overwritten.
         """
-        from tickline.operators.silver import DEDUPE_ORDER, TICK_KEY, TRADE_KEY, dedupe
-        from tickline.session import checkpoint_root
-
         key = TICK_KEY if name == "ticks" else TRADE_KEY
-        try:
-            stored = self._read("silver", name)
-        except Exception:  # noqa: BLE001 - first run: nothing stored yet
+        stored = tables.read_if_exists(self.spark, self._path("silver", name), self.lake.fmt)
+        if stored is None:
             return fresh
-        touched = fresh.select("trade_date").distinct()
-        old = stored.join(touched, "trade_date", "left_semi").select(*fresh.columns)
-        merged = dedupe(old.unionByName(fresh), key, DEDUPE_ORDER)
+        kept = stored.where(F.col("trade_date").isin(*self.touched_trade_dates) & ~F.to_date("ingested_at").isin(*ingest_dates))
         checkpoint_root(self.spark)
-        return merged.checkpoint(eager=True)
+        return dedupe(kept.select(*fresh.columns).unionByName(fresh), key, DEDUPE_ORDER).checkpoint(eager=True)
+
+    def _now(self, df: DataFrame) -> DataFrame:
+        """The trade dates this run rebuilt; all of them on a full run.
+
+        Keys never span trade dates: a key's copies share their event time.
+        """
+        return df if self.touched_trade_dates is None else df.where(F.col("trade_date").isin(*self.touched_trade_dates))
 
     def dq_silver(self) -> None:
-        ticks = run_contract(self._read("silver", "ticks"), load_builtin("silver_ticks"))
-        trades = run_contract(self._read("silver", "trades"), load_builtin("silver_trades"))
+        ticks = run_contract(self._now(self._read("silver", "ticks")), load_builtin("silver_ticks"))
+        trades = run_contract(self._now(self._read("silver", "trades")), load_builtin("silver_trades"))
         self._gate(ticks.unionByName(trades))
 
     def gold(self, trade_dates: list | None = None) -> dict[str, int]:
@@ -242,17 +252,10 @@ class Pipeline:
             ticks = ticks.where(F.col("trade_date").isin(*trade_dates))
             trades = trades.where(F.col("trade_date").isin(*trade_dates))
 
-        def writer(path: str):
-            def write(d):
-                w = d.write.mode("overwrite").partitionBy("trade_date")
-                if trade_dates is not None:
-                    w = w.option("partitionOverwriteMode", "dynamic")
-                w.parquet(path)
-
-            return write
+        def write(df: DataFrame, name: str) -> int:
+            return _publish_counted(df, name, self._path("gold", name), ["trade_date"], self.lake.fmt, trade_dates)
 
-        bars = bars_ops.build_ohlcv_1m(ticks, trades)
-        n_bars = _write_observed(bars, "bars", writer(self._path("gold", "ohlcv_1m")))
+        n_bars = write(bars_ops.build_ohlcv_1m(ticks, trades), "ohlcv_1m")
         stored = self._read("gold", "ohlcv_1m")
         if trade_dates is not None:
             stored = stored.where(F.col("trade_date").isin(*trade_dates))
@@ -262,10 +265,8 @@ class Pipeline:
         # ``dq_gold`` before anything is published.
         done = _concurrently(
             {
-                "risk": lambda: _write_observed(risk, "risk", writer(self._path("gold", "symbol_risk_daily"))),
-                "bars_contract": lambda: run_contract(
-                    self._read("gold", "ohlcv_1m"), load_builtin("gold_ohlcv_1m")
-                ).collect(),
+                "risk": lambda: write(risk, "symbol_risk_daily"),
+                "bars_contract": lambda: run_contract(stored, load_builtin("gold_ohlcv_1m")).collect(),
             }
         )
         n_risk = done["risk"]
@@ -279,13 +280,15 @@ class Pipeline:
             rows, self._bars_results = self._bars_results, None
             self._gate(rows)
         else:
-            self._gate(run_contract(self._read("gold", "ohlcv_1m"), load_builtin("gold_ohlcv_1m")))
+            self._gate(run_contract(self._now(self._read("gold", "ohlcv_1m")), load_builtin("gold_ohlcv_1m")))
 
     def publish(self) -> None:
-        """Serving copies, replaced per trade date: a re-run never doubles rows."""
+        """Serving copies: all of gold, or on an incremental run its touched trade dates."""
         _concurrently(
             {
-                t: lambda t=t: tables.publish(self._read("gold", t), self._path("serving", t), ["trade_date"])
+                t: lambda t=t: tables.publish(
+                    self._read("gold", t), self._path("serving", t), ["trade_date"], self.lake.fmt, only=self.touched_trade_dates
+                )
                 for t in ("ohlcv_1m", "symbol_risk_daily")
             }
         )
@@ -294,16 +297,16 @@ class Pipeline:
         bars = marts.stg_bars(self._read("serving", "ohlcv_1m"))
         risk = marts.stg_risk(self._read("serving", "symbol_risk_daily"))
         dim = marts.dim_symbol(read_seed(self.spark), risk)
-        dim.write.mode("overwrite").parquet(self._path("marts", "dim_symbol"))
+        tables.write_table(dim, self.lake, "marts", "dim_symbol", "overwrite")
         dim = self._read("marts", "dim_symbol")
         _concurrently(
             {
-                "daily_performance": lambda: marts.daily_performance(risk, dim)
-                .write.mode("overwrite")
-                .parquet(self._path("marts", "daily_performance")),
-                "intraday_liquidity": lambda: marts.intraday_liquidity(bars)
-                .write.mode("overwrite")
-                .parquet(self._path("marts", "intraday_liquidity")),
+                "daily_performance": lambda: tables.write_table(
+                    marts.daily_performance(risk, dim), self.lake, "marts", "daily_performance", "overwrite"
+                ),
+                "intraday_liquidity": lambda: tables.write_table(
+                    marts.intraday_liquidity(bars), self.lake, "marts", "intraday_liquidity", "overwrite"
+                ),
             }
         )
 
@@ -343,12 +346,32 @@ class Pipeline:
         return self.report
 
 
-def run_ops_daily(spark: SparkSession, lake: Lake) -> dict:
-    """Quarantine triage: counts by reason, then the quarantine-rate gate."""
+#: Tables of the daily maintenance: partition columns and order inside files.
+MAINTAINED = {
+    ("bronze", "events"): (["ingest_date", "kafka_topic"], ["kafka_partition", "kafka_offset"]),
+    ("silver", "ticks"): (["trade_date"], ["symbol", "event_ts"]),
+    ("silver", "trades"): (["trade_date"], ["symbol", "event_ts"]),
+}
+
+
+def maintain(spark: SparkSession, lake: Lake, retention_hours: float = 168) -> dict[str, dict]:
+    """Compact the tables that grow by small files, and drop files replaced over ``retention_hours`` ago."""
+    done = {}
+    for (layer, name), (partition_by, sort_by) in MAINTAINED.items():
+        path = lake.path(layer, name)
+        if tables.read_if_exists(spark, path, lake.fmt) is not None:
+            files = tables.compact(spark, path, partition_by, fmt=lake.fmt, sort_by=sort_by)
+            done[f"{layer}/{name}"] = files | {"expired": tables.expire(spark, path, retention_hours)}
+    return done
+
+
+def run_ops_daily(spark: SparkSession, lake: Lake, retention_hours: float = 168) -> dict:
+    """Maintenance, then quarantine triage: counts by reason and the quarantine-rate gate."""
     from pyspark.sql.types import DateType, StructField, StructType
 
     from tickline.operators.silver import silver_schemas
 
+    maintenance = maintain(spark, lake, retention_hours)
     schemas = silver_schemas(spark)
     for name in ("quarantine_ticks", "quarantine_trades"):
         schemas[name] = StructType(schemas[name].fields + [StructField("ingest_date", DateType())])
@@ -358,6 +381,6 @@ def run_ops_daily(spark: SparkSession, lake: Lake) -> dict:
     rate = ops.quarantine_rate(
         [read("ticks"), read("trades")], [quarantine["quarantine_ticks"], quarantine["quarantine_trades"]]
     ).first()
-    summary = {"report": report, "rate": rate.asDict()}
+    summary = {"report": report, "rate": rate.asDict(), "maintenance": maintenance}
     ops.enforce_quarantine_rate(rate)
     return summary

@@ -21,6 +21,10 @@ ADAPTIVE_CONF = {
 }
 
 
+class CheckpointDirUnset(RuntimeError):
+    """No shared folder is known for stored intermediate tables."""
+
+
 def build_session(
     app_name: str = "tickline",
     master: str | None = None,
@@ -64,18 +68,18 @@ def prepare_session(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by whoever runs the job (a path every executor
-    can reach). Only when it is unset, as in local tests, a scratch folder is
-    created and registered so that ``DataFrame.checkpoint`` works too.
+    On a cluster whoever runs the job sets it, to a path every executor can
+    reach; unset, that is an error. Only a local master, whose executors
+    share the driver's disk, gets a scratch folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise CheckpointDirUnset(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="tickline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -3,10 +3,14 @@ publish, compaction, and append-only audit tables."""
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickline.schemas import DQ_RESULT_SCHEMA
@@ -32,6 +36,67 @@ def read_table(spark: SparkSession, lake: Lake, layer: str, table: str, schema=N
     return reader.load(lake.path(layer, table))
 
 
+#: What Spark says of a path that isn't there or holds no data file yet.
+_ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None if nothing was ever written there.
+
+    Any other failure is raised: taking it for an empty table would let the
+    next overwrite delete the stored rows.
+    """
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() in _ABSENT:
+            return None
+        raise
+
+
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and a function that makes its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+class StreamedTableError(RuntimeError):
+    """The folder belongs to a streaming file sink, whose log alone says which files count."""
+
+
+def refuse_streamed(spark: SparkSession, path: str) -> None:
+    """Raise if readers of ``path`` follow a stream's file log: files written
+    beside it are invisible, and files replaced under it break every read."""
+    fs, make = _fs(spark, path)
+    if fs.exists(make(f"{path.rstrip('/')}/_spark_metadata")):
+        raise StreamedTableError(f"{path} is written by a streaming file sink")
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
+    """Delete the first-level partitions ``column=value`` of a table."""
+    fs, make = _fs(spark, path)
+    wanted = {str(v) for v in values}
+    if not fs.exists(make(path)):
+        return
+    for entry in fs.listStatus(make(path)):
+        name, _, value = entry.getPath().getName().partition("=")
+        if name == column and unquote(value) in wanted:
+            fs.delete(entry.getPath(), True)
+
+
+def _files_of(spark: SparkSession, path: str, column: str, values: list) -> dict[str, frozenset]:
+    """Names of the files in each of the first-level partitions ``column=value`` that exist."""
+    fs, make = _fs(spark, path)
+    wanted, out = {str(v) for v in values}, {}
+    if not fs.exists(make(path)):
+        return out
+    for entry in fs.listStatus(make(path)):
+        name, _, value = entry.getPath().getName().partition("=")
+        if name == column and unquote(value) in wanted:
+            out[unquote(value)] = frozenset(_data_files(spark, entry.getPath().toString()))
+    return out
+
+
 def write_table(
     df: DataFrame,
     lake: Lake,
@@ -75,25 +140,84 @@ def clustered(df: DataFrame, partition_by: list[str]) -> DataFrame:
 
 
 def publish(
-    df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet", rows_per_file: int = ROWS_PER_FILE
+    df: DataFrame,
+    path: str,
+    partition_by: list[str],
+    fmt: str = "parquet",
+    rows_per_file: int = ROWS_PER_FILE,
+    only: list | None = None,
+    observed: Observation | None = None,
 ) -> str:
-    """Idempotent load into a serving table: delete-then-insert per partition.
+    """Make the table hold exactly ``df``; loading it twice is loading it once.
 
-    Loading the same rows twice leaves the table as after one load; loading
-    a new date adds it without touching older ones.
+    With ``only``, values of the first partition column, exactly those
+    partitions are replaced: rows of ``df`` elsewhere are left out, and a
+    named partition without rows is emptied. ``observed`` gets the number of
+    ``rows`` written, counted above the clustering shuffle.
     """
+    spark, column = df.sparkSession, partition_by[0]
+    if only is not None:
+        df = df.where(F.col(column).isin(*only))
+        before = _files_of(spark, path, column, only)
+    shaped = clustered(df, partition_by)
+    if observed is not None:
+        shaped = shaped.observe(observed, F.count(F.lit(1)).alias("rows"))
     (
-        clustered(df, partition_by)
-        .write.format(fmt)
+        shaped.write.format(fmt)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if only is None else "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(*partition_by)
         .save(path)
     )
+    if only is not None:
+        # a partition that got no rows wasn't written: it still has the files it had
+        after = _files_of(spark, path, column, only)
+        drop_partitions(spark, path, column, [v for v, names in after.items() if names == before.get(v)])
     return path
 
 
+_REPLACED = "_replaced"
+
+
+def _data_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files below ``path``, relative to it; hidden folders aren't part of the table."""
+    fs, make = _fs(spark, path)
+    root = fs.makeQualified(make(path)).toString().rstrip("/")
+    out, todo = [], [make(path)]
+    while todo:
+        for entry in fs.listStatus(todo.pop()):
+            if entry.getPath().getName()[0] in "_.":
+                continue
+            if entry.isDirectory():
+                todo.append(entry.getPath())
+            else:
+                out.append(fs.makeQualified(entry.getPath()).toString()[len(root) + 1 :])
+    return out
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; done already counts as done, so a broken-off switch can be finished."""
+    fs, make = _fs(spark, source)
+    if not fs.exists(make(source)):
+        return
+    fs.mkdirs(make(target).getParent())
+    if not fs.rename(make(source), make(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def _switch(spark: SparkSession, path: str, journal: str) -> None:
+    """Move replaced files away and staged files in, as the journal says, then drop both helpers."""
+    plan = json.loads(spark.read.text(journal, wholetext=True).first()[0])
+    for name in plan["old"]:
+        _move(spark, f"{path}/{name}", f"{path}/{_REPLACED}/{plan['stamp']}/{name}")
+    for name in plan["new"]:
+        _move(spark, f"{plan['staging']}/{name}", f"{path}/{name}")
+    fs, make = _fs(spark, path)
+    fs.delete(make(plan["staging"]), True)
+    fs.delete(make(journal), True)
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -101,35 +225,48 @@ def compact(
     rows_per_file: int = ROWS_PER_FILE,
     fmt: str = "parquet",
     sort_by: list[str] | None = None,
-) -> str:
-    """Rewrite a partitioned table into few, evenly sized files per partition.
+) -> dict[str, int]:
+    """Rewrite a partitioned table into few, evenly sized, sorted files per partition.
 
-    Overwriting a path that is being read is unsafe, so the rows are first
-    written to a staging folder next to the table, then the staging copy
-    replaces the table's partitions (dynamic overwrite). Returns the staging
-    path, which the caller may delete once readers have moved on.
+    The files that are there now are read and rewritten to a staging folder;
+    those very files are then exchanged for the staged ones, which keep their
+    size bound and order. Files appended meanwhile stay. A journal written
+    before the exchange lets the next call finish one that broke off.
+    Replaced files are kept, out of readers' sight, until ``expire`` deletes
+    them. Returns the file counts before and after.
     """
-    staging = f"{path.rstrip('/')}_compact_{uuid.uuid4().hex[:8]}"
-    current = spark.read.format(fmt).load(path)
-    shaped = clustered(current, partition_by)
-    if sort_by:
-        shaped = shaped.sortWithinPartitions(*sort_by)
-    (
-        shaped.write.format(fmt)
-        .mode("overwrite")
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(*partition_by)
-        .save(staging)
-    )
-    staged = spark.read.format(fmt).load(staging)
-    (
-        staged.write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .save(path)
-    )
-    return staging
+    path = path.rstrip("/")
+    refuse_streamed(spark, path)
+    fs, make = _fs(spark, path)
+    pending = fs.globStatus(make(f"{path}/_compaction-*"))
+    for entry in pending or []:
+        _switch(spark, path, entry.getPath().toString())
+    old = _data_files(spark, path)
+    if not old:
+        return {"before": 0, "after": 0}
+    token = uuid.uuid4().hex[:8]
+    staging = f"{path}/_staging-{token}"
+    current = spark.read.format(fmt).option("basePath", path).load([f"{path}/{name}" for name in old])
+    shaped = clustered(current, partition_by).sortWithinPartitions(*partition_by, *(sort_by or []))
+    shaped.write.format(fmt).option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).save(staging)
+    new = _data_files(spark, staging)
+    plan = {"old": old, "new": new, "staging": staging, "stamp": int(time.time())}
+    journal = f"{path}/_compaction-{token}"
+    spark.createDataFrame([(json.dumps(plan),)], "value string").coalesce(1).write.text(journal)
+    _switch(spark, path, journal)
+    return {"before": len(old), "after": len(new)}
+
+
+def expire(spark: SparkSession, path: str, hours: float = 168) -> int:
+    """Delete files that compaction replaced over ``hours`` ago; how many compactions' files went."""
+    fs, make = _fs(spark, path)
+    root = make(f"{path.rstrip('/')}/{_REPLACED}")
+    if not fs.exists(root):
+        return 0
+    old = [e.getPath() for e in fs.listStatus(root) if int(e.getPath().getName()) <= time.time() - hours * 3600]
+    for entry in old:
+        fs.delete(entry, True)
+    return len(old)
 
 
 def file_count(df: DataFrame) -> int:
