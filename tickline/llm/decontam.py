@@ -179,7 +179,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 13, id_col: st
     contaminated rows alone, so it is far smaller than the documents.
     """
     bad = verdicts(scan(docs, benchmark, n, id_col=id_col, text_col=text_col)).where("contaminated").select(F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__llm_id")) & (text_key(F.col(text_col)) == F.col("__llm_key")), "left_anti")
+    return docs.join(bad.hint("merge"), F.col(id_col).eqNullSafe(F.col("__llm_id")) & (text_key(F.col(text_col)) == F.col("__llm_key")), "left_anti")
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

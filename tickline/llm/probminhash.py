@@ -243,7 +243,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS,
 
     members, pairs = _star(nodes, None)
     used = members.select("node").distinct()
-    content = base.select(F.col("doc_id").alias("node"), "text").join(used, "node", "left_semi").dropDuplicates(["node"])
+    content = base.select(F.col("doc_id").alias("node"), "text").join(used.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
     content = materialise(content.mapInArrow(_shingle_rows, f"node {kind}, ids array<long>, weights array<int>"), "content")
     labels = connected_components(_links(pairs, nodes, content, threshold))
     for finer_registers, finer_band in FINER:
@@ -265,4 +265,4 @@ def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS,
 def keep_one(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` (all columns) whose id is the smallest of its class; null ids stay."""
     gone = classes(docs, threshold, id_col=id_col, text_col=text_col).where("doc_id <> class_id").select(F.col("doc_id").alias("__llm_id")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__llm_id"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col(id_col) == F.col("__llm_id"), "left_anti")
