@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tickline.session import checkpoint_root
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 CHUNK_ROWS = 1 << 15
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -121,10 +121,19 @@ _POW = np.uint64(0xD6E8FEB86659FD93)
 _Q = np.uint64(0xA0761D6478BD642F)
 
 
+_powers: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+    """``base ** 0 .. base ** (n - 1)`` modulo 2**64; a process keeps the longest it needed."""
+    known = _powers.get(int(base))
+    if known is None or len(known) < n:
+        known = np.full(max(n, 4096), base, dtype=np.uint64)
+        known[0] = 1
+        known = np.cumprod(known)
+        if n <= 2 * CHUNK_BYTES:
+            _powers[int(base)] = known
+    return known[: max(n, 1)]
 
 
 @dataclass

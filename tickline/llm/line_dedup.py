@@ -6,8 +6,9 @@ at most as long as it by ``min(max_edits, l // chars_per_edit)`` edits, where
 is split into threshold-plus-one even segments, of which one must survive any
 allowed edits. The longer line probes with the substrings of its own that can
 align with a segment of a line 0, 1, ... edits shorter: the key holds segment
-number, line length and content, so only fitting lengths meet. Candidates are
-verified with banded bit-parallel edit distance: the band's vertical deltas are
+number, line length and content, so only fitting lengths meet. Lines that meet
+are candidates if the parities of their character pairs differ in as few bits
+as the allowed edits can flip. Candidates are verified with banded bit-parallel edit distance: the band's vertical deltas are
 bits of one word, and all pairs of a batch advance column by column together.
 
 A line is removed when the same text, or one linked to it, occurs earlier, by
@@ -55,6 +56,24 @@ class _Chars:
         self.sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(vals, dtype=np.uint64)))
         self.back = powers(_BACK, len(self.codes) + 1)
 
+    def bigram_parities(self) -> np.ndarray:
+        """64 bits a line: of each hashed class of character pairs, whether their number is odd.
+
+        A substitution changes two pairs into two others, an insertion or
+        deletion changes three at most, so an edit flips at most four bits.
+        """
+        out = np.zeros(len(self.start), dtype=np.uint64)
+        if len(self.codes) < 2:
+            return out
+        pair = self.codes[:-1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ self.codes[1:].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        bits = np.uint64(1) << ((pair * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(58))
+        some = np.flatnonzero(self.size > 0)
+        last = self.start[some] + self.size[some] - 1
+        bits = np.append(bits, np.uint64(0))
+        bits[last] = 0  # no pair across lines
+        out[some] = np.bitwise_xor.reduceat(bits, self.start[some])
+        return out
+
     def substring(self, at: np.ndarray, length: np.ndarray) -> np.ndarray:
         return (self.sums[at + length] - self.sums[at]) * self.back[at]
 
@@ -98,13 +117,15 @@ def _keys(probe: bool, max_edits: int, chars_per_edit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in chunks(batch, "line"):
-                found = list(emit(_Chars(data, offsets)))
+                chars = _Chars(data, offsets)
+                found = list(emit(chars))
                 if not found:
                     continue
                 who = np.concatenate([w for w, _ in found])
                 key = np.concatenate([k for _, k in found])
                 ids = batch.column(0).slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), ids.take(pa.array(who))], names=["key", "line_id"])
+                parity = chars.bigram_parities()[who].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), ids.take(pa.array(who)), pa.array(parity)], names=["key", "probe_id", "probe_parity"] if probe else ["key", "line_id", "parity"])
 
     return run
 
@@ -187,12 +208,13 @@ def edit_join(lines: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: int
     Each link comes once, the shorter line first (of equal ones the smaller id).
     """
     narrow = lines.select("line_id", "line").where(F.length("line") >= chars_per_edit)
-    index = narrow.mapInArrow(_keys(False, max_edits, chars_per_edit), "key long, line_id long")
-    probe = narrow.mapInArrow(_keys(True, max_edits, chars_per_edit), "key long, line_id long").withColumnRenamed("line_id", "probe_id")
-    pairs = index.join(probe, "key").where("line_id <> probe_id")
+    index = narrow.mapInArrow(_keys(False, max_edits, chars_per_edit), "key long, line_id long, parity long")
+    probe = narrow.mapInArrow(_keys(True, max_edits, chars_per_edit), "key long, probe_id long, probe_parity long")
+    near = F.bit_count(F.col("parity").bitwiseXOR(F.col("probe_parity"))) <= 4 * max_edits
+    pairs = index.join(probe, (index["key"] == probe["key"]) & (F.col("line_id") != F.col("probe_id")) & near)
     pairs = materialise(pairs.select(F.least("line_id", "probe_id").alias("a"), F.greatest("line_id", "probe_id").alias("b")).distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("line_id")).unionByName(pairs.select(F.col("b").alias("line_id"))).distinct()
-    used = materialise(narrow.join(ids, "line_id", "left_semi"), "used")
+    used = materialise(narrow.join(ids.hint("merge"), "line_id", "left_semi"), "used")
     left = used.select(F.col("line_id").alias("a"), F.col("line").alias("la"))
     right = used.select(F.col("line_id").alias("b"), F.col("line").alias("lb"))
     both = pairs.join(left, "a").join(right, "b")
@@ -211,27 +233,29 @@ def edit_join(lines: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: int
 
 def _drop_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-        gone = batch.column(batch.schema.get_field_index("gone")).to_pylist()
-        n, kept = [], []
-        for text, own in zip(texts, gone, strict=True):
-            lines = [] if text is None else text.split("\n")
-            n.append(sum(1 for x in lines if x.strip(_BLANKS)))
-            if own:
-                out = set(own)
-                text = "\n".join(x for k, x in enumerate(lines) if k not in out)
-            kept.append(text)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array(n, type=pa.int64()),
-                pa.array([len(x or ()) for x in gone], type=pa.int64()),
-                pa.array([hashlib.sha256((x or "").encode()).hexdigest() for x in kept]),
-                pa.array(kept, type=pa.string()),
-            ],
-            names=["doc_id", "text_key", "n_lines", "n_removed", "kept_sha256", "kept_text"],
-        )
+        for i, j, _, _ in chunks(batch):
+            part = batch.slice(i, j - i)
+            texts = part.column(part.schema.get_field_index("text")).to_pylist()
+            gone = part.column(part.schema.get_field_index("gone")).to_pylist()
+            n, kept = [], []
+            for text, own in zip(texts, gone, strict=True):
+                lines = [] if text is None else text.split("\n")
+                n.append(sum(1 for x in lines if x.strip(_BLANKS)))
+                if own:
+                    out = set(own)
+                    text = "\n".join(x for k, x in enumerate(lines) if k not in out)
+                kept.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    part.column(1),
+                    pa.array(n, type=pa.int64()),
+                    pa.array([len(x or ()) for x in gone], type=pa.int64()),
+                    pa.array([hashlib.sha256((x or "").encode()).hexdigest() for x in kept]),
+                    pa.array(kept, type=pa.string()),
+                ],
+                names=["doc_id", "text_key", "n_lines", "n_removed", "kept_sha256", "kept_text"],
+            )
 
 
 def _line_rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -253,16 +277,16 @@ def removed_lines(docs: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: i
     ends = links.select(F.col("a").alias("line_id"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("line_id"), F.col("a").alias("other")))
     small = lines.select("line_id", "first")
     linked = materialise(links.select(F.col("a").alias("line_id")).unionByName(links.select(F.col("b").alias("line_id"))).distinct(), "linked")
-    firsts = materialise(small.join(linked, "line_id"), "firsts")
+    firsts = materialise(small.join(linked.hint("merge"), "line_id"), "firsts")
     other = firsts.select(F.col("line_id").alias("other"), F.col("first").alias("other_first"))
     joined = materialise(ends.join(firsts, "line_id").join(other, "other").select("line_id", "first", "other_first"), "ends")
     by_line = materialise(joined.groupBy("line_id").agg(F.min("other_first").alias("least"), F.count(F.lit(1)).alias("n_links")), "by_line")
-    flags = lines.join(by_line, "line_id", "left").where("n > 1 or n_links > 0")
+    flags = lines.join(by_line.hint("merge"), "line_id", "left").where("n > 1 or n_links > 0")
     flags = materialise(flags.select(F.xxhash64("line").alias("h"), F.hash("line").alias("h2"), "first", F.coalesce(F.col("least") < F.col("first"), F.lit(False)).alias("later"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "flags")
     discard(lines, links, linked, firsts, joined, by_line)
     n_links = materialise(flags.where("n_links > 0").groupBy(F.col("first.doc_id").alias("doc_id")).agg(F.sum("n_links").alias("n_links")), "n_links")
     places = rows.select("doc_id", "text_key", "line_no", F.xxhash64("line").alias("h"), F.hash("line").alias("h2"))
-    gone = places.join(flags, ["h", "h2"]).where(F.col("later") | (F.struct("doc_id", "line_no") != F.col("first")))
+    gone = places.join(flags.hint("merge"), ["h", "h2"]).where(F.col("later") | (F.struct("doc_id", "line_no") != F.col("first")))
     return materialise(gone.select("doc_id", "text_key", "line_no"), "gone"), n_links
 
 
@@ -272,7 +296,7 @@ def dedup(docs: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: int = CHA
     kind = base.schema["doc_id"].dataType.simpleString()
     gone, n_links = removed_lines(docs, max_edits, chars_per_edit, id_col, text_col)
     spans = gone.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))  # a text's own lines
-    joined = base.join(spans, ["doc_id", "text_key"], "left").select("doc_id", "text_key", "text", "gone")
+    joined = base.join(spans.hint("merge"), ["doc_id", "text_key"], "left").select("doc_id", "text_key", "text", "gone")
     out = joined.mapInArrow(_drop_lines, f"doc_id {kind}, text_key long, n_lines long, n_removed long, kept_sha256 string, kept_text string")
     return out.join(n_links, "doc_id", "left").select("doc_id", "text_key", "n_lines", "n_removed", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "kept_sha256", "kept_text")
 
@@ -281,7 +305,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``docs`` (all columns) with removed lines cut out of the text; rows that lose nothing are as they were."""
     gone, _ = removed_lines(docs, id_col=id_col, text_col=text_col)
     spans = gone.groupBy(F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key")).agg(F.collect_set("line_no").alias("__llm_gone"))
-    joined = docs.join(spans, (F.col(id_col) == F.col("__llm_id")) & (text_key(F.col(text_col)) == F.col("__llm_key")), "left")
+    joined = docs.join(spans.hint("merge"), (F.col(id_col) == F.col("__llm_id")) & (text_key(F.col(text_col)) == F.col("__llm_key")), "left")
     lines = F.split(F.col(text_col), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size("__llm_lines") - 1), F.col("__llm_gone"))
     joined = joined.withColumn("__llm_lines", lines).withColumn("__llm_stay", stay)
