@@ -56,7 +56,7 @@ def with_base_counts(docs: DataFrame, text: Column) -> DataFrame:
         lambda acc, p: F.struct((acc["n"] + p + 3 - F.greatest(acc["end"], p)).alias("n"), (p + 3).alias("end")),
         lambda acc: acc["n"],
     )
-    return (
+    df = (
         df.withColumn("word_chars", F.length(F.array_join("__w", "")).cast("long"))
         .withColumn("n_symbols", F.length(F.regexp_replace("__text", "[^#*$%&|<>]+", "")).cast("long"))
         .withColumn("n_dup_lines", (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"))
@@ -64,6 +64,7 @@ def with_base_counts(docs: DataFrame, text: Column) -> DataFrame:
         .withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .drop("__lines", "__h", "__s", "__p", "__text")
     )
+    return df.withColumn("base_failed", F.explode(F.array("base_failed")))
 
 
 def _grams(buckets: int) -> Column:
@@ -99,7 +100,9 @@ def score(docs: DataFrame, trusted: DataFrame, threshold: float = -0.08, buckets
     df = with_base_counts(docs, F.col(text_col)).withColumn("__g", _grams(buckets)).withColumn("__r", ratios)
     total = F.aggregate("__g", F.lit(0.0), lambda acc, g: acc + F.get(F.col("__r"), g))
     df = df.withColumn("llr", F.when(F.size("__g") > 0, total / F.size("__g")).otherwise(F.lit(0.0)))
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)).drop("__w", "__g", "__r")
+    df = df.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold)).drop("__w", "__g", "__r")
+    # a filter on ``kept`` would else be pushed below, with every step's arrays put into the next one's lambdas
+    return df.withColumn("kept", F.explode(F.array("kept")))
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame, **options: object) -> DataFrame:

@@ -27,6 +27,7 @@ repeated rows of one key give the same samples; a null key is a key too.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 from collections.abc import Iterator
@@ -102,6 +103,12 @@ class Vocabulary:
 _LOW = np.uint64((1 << 18) - 1)
 
 
+@functools.lru_cache(maxsize=2)
+def vocabulary(model: bytes, scores: str = "rank") -> Vocabulary:
+    """The model's arrays, built once in a worker process."""
+    return Vocabulary(model, scores)
+
+
 def _flags(keys: np.ndarray) -> np.ndarray:
     """Which low bits occur among ``keys``; a cheap test before the exact one."""
     out = np.zeros(1 << 18, dtype=bool)
@@ -431,7 +438,7 @@ def decode_ids(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> list[bytes
 
 def _sampler(model: bytes, k: int, scores: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(model, scores)
+        v = vocabulary(model, scores)
         for batch in batches:
             seeds = batch.column(batch.schema.get_field_index("seed")).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for i, j, data, offsets in chunks(batch, most=_CHUNK):
@@ -506,7 +513,7 @@ def decode(encoded: DataFrame, model_path: str = DEFAULT_MODEL, ids_col: str = "
     schema = encoded.drop("text").schema.add("text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = Vocabulary(model)
+        v = vocabulary(model)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids_col))
             sizes = np.array([len(x) if x.is_valid else 0 for x in column], dtype=np.int64)
