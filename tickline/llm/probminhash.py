@@ -16,8 +16,8 @@ more registers and longer bands, whose smaller buckets have centres of their
 own. Classes are the connected components of the verified links. A link is
 missed if its two ends are never in a bucket where one of them is the centre.
 
-Defined cases: a text without words (null, empty, blank) is alone; one of under
-five words is a single shingle; rows of one id are one document; a null id has
+Defined cases: a null text is alone; a text without words is like those equal
+to it alone; one of under five words is a single shingle; rows of one id are one document; a null id has
 a null class.
 """
 
@@ -231,13 +231,13 @@ def _open_nodes(members: DataFrame, labels: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS, band: int = BAND, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id``: the smallest id of the document's near-duplicate class; a row for each row of ``docs``."""
     text: Column = F.col(text_col)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("k1"), F.hash(text).alias("k2"), text.alias("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.when(text.isNotNull(), F.xxhash64(text)).alias("k1"), F.hash(text).alias("k2"), text.alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
     signed = materialise(base.mapInArrow(_sign(registers, band), f"doc_id {kind}, k1 long, k2 int, bands array<long>, sig array<int>"), "signed")
 
-    with_words = signed.where(F.col("doc_id").isNotNull() & (F.size("bands") > 0))
-    equal = materialise(with_words.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "equal")
-    own = materialise(with_words.select("doc_id", "k1", "k2").join(equal, ["k1", "k2"]).select("doc_id", "node").distinct(), "own")
+    present = signed.where(F.col("doc_id").isNotNull() & F.col("k1").isNotNull())
+    equal = materialise(present.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "equal")
+    own = materialise(present.select("doc_id", "k1", "k2").join(equal, ["k1", "k2"]).select("doc_id", "node").distinct(), "own")
     firsts = own.where("doc_id = node").select("node").distinct()
     nodes = materialise(signed.withColumnRenamed("doc_id", "node").join(firsts, "node").dropDuplicates(["node"]).select("node", "bands", "sig"), "nodes")
 
