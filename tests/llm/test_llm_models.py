@@ -21,8 +21,8 @@ def awkward(spark):
     return spark.createDataFrame([(i, t, 1.0, 2, None) for i, t in AWKWARD], SCHEMA).repartition(2)
 
 
-def held_out(spark, query, label):
-    scored = QUERIES[query](spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out").toPandas()
+def held_out(spark, query, label, folder=SF):
+    scored = QUERIES[query](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").toPandas()
     return (scored["predicted"] == scored[label]).mean(), max(scored[label].mean(), 1 - scored[label].mean())
 
 
@@ -32,8 +32,9 @@ def test_toxicity_on_held_out_documents(spark):
 
 
 def test_quality_on_held_out_documents(spark):
-    accuracy, base = held_out(spark, "op7_pu_quality", "quality")
-    assert accuracy >= 0.95 > base
+    # 990 held-out rows; sf0.01 has 94, where five errors are within chance
+    accuracy, base = held_out(spark, "op7_pu_quality", "quality", "/root/testdata/sf0.1")
+    assert accuracy >= 0.98 > base
 
 
 def test_folding_and_exceptions():

@@ -1,9 +1,9 @@
 """Quality classifier by positive-unlabelled learning.
 
 Trusted positives and unlabelled web text are all it sees. The class prior is
-estimated first: a logistic model tells positives from unlabelled text, and the
-prior is the smallest ratio, over its upper tails, of unlabelled to positive
-share (on rows kept out of that fit). Then a network with one hidden layer
+estimated first: a model tells positives from unlabelled text, and the prior is
+the ratio of unlabelled to positive share above the best cut of its scores (on
+rows kept out of that fit). Then a network with one hidden layer
 minimises the non-negative unbiased risk
 
     prior * R+(f) + max(0, R-(f on unlabelled) - prior * R-(f on positives))
@@ -122,15 +122,16 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """Share of positives among the unlabelled, from both kinds' scores.
 
-    The smallest upper-tail ratio, over tails with enough positives that the
-    ratio's sampling error is small.
+    The ratio of the kinds' shares above a cut, at the cut where the ratio's
+    upper confidence bound is smallest.
     """
     p, u = np.sort(positive), np.sort(unlabelled)
     cuts = np.quantile(p, np.linspace(0.0, 0.9, 91))
     above_p = 1 - np.searchsorted(p, cuts, side="left") / len(p)
     above_u = 1 - np.searchsorted(u, cuts, side="left") / len(u)
     error = np.sqrt(np.log(20) / (2 * len(u))) + np.sqrt(np.log(20) / (2 * len(p)))
-    return float(np.clip(((above_u + error) / above_p).min() - error, 0.02, 0.98))
+    best = np.argmin((above_u + error) / above_p)
+    return float(np.clip(above_u[best] / above_p[best], 0.02, 0.98))
 
 
 class Network:

@@ -51,7 +51,8 @@ def fold(text: str | None) -> str:
     if not text:
         return " "
     text = _SYMBOL.sub(lambda m: SYMBOLS[m[0]], text.lower().translate(_TABLE))
-    return " " + _OTHER.sub(" ", text).strip() + " "
+    words = _OTHER.sub(" ", text).strip()
+    return f" {words} " if words else " "
 
 
 class Lexicon:
