@@ -172,6 +172,14 @@ def test_classes_of_a_large_group_stay_whole(spark):
     assert all(got[1000 + k] == 1000 + k for k in range(50))
 
 
+def test_near_copies_inside_a_template_group(spark):
+    template = [f"t{i}" for i in range(300)]
+    # 150 pairs at 0.805 that share two shingles besides the template's; all other texts are at 0.796
+    rows = [(i, " ".join(template + [f"a{i // 2}", f"b{i // 2}"] + [f"c{i}_{k}" for k in range(36)])) for i in range(300)]
+    got = dict(rows_of(probminhash.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)), "doc_id", "class_id"))
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
 def test_line_dedup_matches_brute_force(docs, none):
     blanks = " \t\n\x0b\x0c\r"
 

@@ -13,8 +13,11 @@ each bucket the most central member (the one that meets most others in all its
 buckets) is compared with the rest, so a bucket costs one comparison a member.
 Nodes of a bucket that then still holds several classes are signed again with
 more registers and longer bands, whose smaller buckets have centres of their
-own. Classes are the connected components of the verified links. A link is
-missed if its two ends are never in a bucket where one of them is the centre.
+own. The nodes of first buckets that are divided even then get an exact join:
+every two of them in different classes that can be similar share one of their
+rarest shingles (see ``_rare_pairs``), and all such pairs are verified. Classes
+are the connected components of the verified links. A link is missed only if
+its two ends share none of the first buckets, one in 5,000 at similarity 0.8.
 
 Defined cases: a null text is alone; a text without words is like those equal
 to it alone; one of under five words is a single shingle; rows of one id are one document; a null id has
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE_TABLE, Words, chunks, find_words, list_column, materialise, mix, window_hash
@@ -40,8 +43,10 @@ BAND = 4
 FINER = ((384, 8), (1024, 16))
 _ID_BITS = np.uint64(48)
 _ID_MASK = np.uint64((1 << 48) - 1)
-#: A pair is verified if this share of registers agrees; at similarity 0.8 one in 10,000 pairs has fewer.
-_LIKELY = 0.6
+#: A pair of a first or finer bucket is verified if this share of registers agrees; at similarity 0.8 fewer than one in 10**11 pairs has fewer.
+_LIKELY = 0.4
+#: Rows of a shingle that one task joins with the rows of small classes.
+_SALT_ROWS = 512
 
 
 def shingles(words: Words, length: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,15 +167,19 @@ def _verify(threshold: float):
 
 def _links(pairs: DataFrame, nodes: DataFrame, content: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``u, v`` whose exact similarity reaches ``threshold``."""
-    kind = pairs.schema["u"].dataType.simpleString()
     pairs = materialise(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "pairs")
     a = nodes.select(F.col("node").alias("u"), F.col("sig").alias("sa"))
     b = nodes.select(F.col("node").alias("v"), F.col("sig").alias("sb"))
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
     likely = materialise(pairs.join(a, "u").join(b, "v").where(agree >= _LIKELY * F.size("sa")).select("u", "v"), "likely")
+    return _verified(likely, content, threshold)
+
+
+def _verified(pairs: DataFrame, content: DataFrame, threshold: float) -> DataFrame:
+    kind = pairs.schema["u"].dataType.simpleString()
     a = content.select(F.col("node").alias("u"), F.col("ids").alias("ia"), F.col("weights").alias("wa"))
     b = content.select(F.col("node").alias("v"), F.col("ids").alias("ib"), F.col("weights").alias("wb"))
-    joined = likely.join(a, "u").join(b, "v").select("u", "v", "ia", "wa", "ib", "wb")
+    joined = pairs.join(a.hint("merge"), "u").join(b.hint("merge"), "v").select("u", "v", "ia", "wa", "ib", "wb")
     return materialise(joined.mapInArrow(_verify(threshold), f"u {kind}, v {kind}"), "links")
 
 
@@ -228,6 +237,37 @@ def _open_nodes(members: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(members.join(split, "bucket").select("node").distinct(), "open")
 
 
+def _rare_pairs(content: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """All pairs ``u, v`` of nodes in different classes whose similarity can reach ``threshold``.
+
+    Shingles that hold the shares ``a`` and ``b`` of two nodes' weights in
+    common bound J_P by ``1 / (1 / a + 1 / b - 1)``. In one order of all
+    shingles, rarest first, the first common one has at most ``1 - a`` and
+    ``1 - b`` of the nodes' weights before it; a pair meets there if these
+    shares allow the threshold. The largest class of a shingle's nodes is not
+    paired with itself, and the nodes of a frequent shingle are dealt out.
+    """
+    total = F.aggregate("weights", F.lit(0).cast("long"), lambda acc, w: acc + w)
+    rows = content.select("node", total.alias("total"), F.explode(F.arrays_zip("ids", "weights")).alias("s")).select("node", "total", F.col("s.ids").alias("id"), F.col("s.weights").alias("weight"))
+    often = materialise(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    order = Window.partitionBy("node").orderBy("n", "id").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.join(often.hint("merge"), "id", "left").withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
+    before = F.coalesce(F.sum("weight").over(order), F.lit(0).cast("long"))
+    ranked = ranked.select("id", "node", "n", (F.col("total") / (F.col("total") - before)).alias("reach"))
+    most = 1 + 1 / threshold + 1e-9
+    prefix = ranked.where((F.col("n") > 1) & (F.col("reach") <= most - 1)).select("id", "node", "reach")
+    prefix = materialise(prefix.join(labels.hint("merge"), "node", "left").select("id", "node", "reach", F.coalesce("label", "node").alias("label")), "prefix")
+    held = prefix.groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = held.groupBy("id").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    mixed = materialise(mixed.select("id", "main", F.expr(f"cast(size div {_SALT_ROWS} as int) + 1").alias("parts")), "mixed")
+    shared = materialise(prefix.join(mixed.hint("merge"), "id"), "shared_prefix")
+    few = shared.where("label <> main").select("id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("node").alias("u"), F.col("label").alias("lu"), F.col("reach").alias("ru"))
+    every = shared.select("id", F.pmod(F.hash("node"), F.col("parts")).alias("part"), F.col("node").alias("v"), F.col("label").alias("lv"), F.col("reach").alias("rv"), (F.col("label") == F.col("main")).alias("mainly"))
+    meet = (F.col("lu") != F.col("lv")) & (F.col("ru") + F.col("rv") <= most) & (F.col("mainly") | (F.col("u") < F.col("v")))
+    joined = few.hint("merge").join(every, (few["id"] == every["id"]) & (few["part"] == every["part"]) & meet)
+    return materialise(joined.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "rare_pairs")
+
+
 def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS, band: int = BAND, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id``: the smallest id of the document's near-duplicate class; a row for each row of ``docs``."""
     text: Column = F.col(text_col)
@@ -242,6 +282,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS,
     nodes = materialise(signed.withColumnRenamed("doc_id", "node").join(firsts, "node").dropDuplicates(["node"]).select("node", "bands", "sig"), "nodes")
 
     members, pairs = _star(nodes, None)
+    first = members
     used = members.select("node").distinct()
     content = base.select(F.col("doc_id").alias("node"), "text").join(used.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
     content = materialise(content.mapInArrow(_shingle_rows, f"node {kind}, ids array<long>, weights array<int>"), "content")
@@ -255,6 +296,12 @@ def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS,
         links = _links(pairs, nodes, content, threshold)
         if not links.isEmpty():
             labels = merge_labels(labels, links)
+    left = _open_nodes(first, labels)
+    if not left.isEmpty():
+        rest = materialise(content.join(left.hint("merge"), "node", "left_semi"), "rest")
+        links = _verified(_rare_pairs(rest, labels, threshold), rest, threshold)
+        if not links.isEmpty():
+            labels = merge_labels(labels, links)
 
     full = own.join(labels.withColumnRenamed("label", "class_id"), "node", "left").select("doc_id", F.coalesce("class_id", "node").alias("class_id"))
     # rows of one id with different texts are one document: its class is the smallest
