@@ -119,6 +119,13 @@ def test_decontamination_matches_brute_force(spark, docs, none, block_chars):
     assert decontam.verdicts(decontam.scan(docs, bench.where("1 = 0"))).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("block_chars", [8_000_000, 60])
+def test_an_item_twice_is_listed_once(spark, block_chars):
+    bench = spark.createDataFrame([(5, PASSAGE), (5, PASSAGE), (6, PASSAGE)], "item_id long, text string")
+    got = decontam.scan(spark.createDataFrame([(1, PASSAGE)], "doc_id long, text string"), bench, block_chars=block_chars)
+    assert [sorted(r["items"]) for r in got.collect()] == [["5", "6"]]
+
+
 def test_decontaminate_drops_documents_or_spans(spark, docs):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     kept = decontam.decontaminate(docs, bench)

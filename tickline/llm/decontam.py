@@ -10,7 +10,7 @@ larger benchmark is dealt into blocks of that size, each scanned against all
 documents, and the hits are merged: no item is left out.
 
 Defined cases: a null or empty text has no words and is never contaminated; an
-item without words is no window; repeated items all count; repeated document
+item without words is no window; rows of one item id count as one item; repeated document
 rows give one row each; a null item id can be hit but isn't listed.
 """
 
@@ -103,7 +103,7 @@ def _scan(found: NgramSet):
                     for a, b in zip(np.flatnonzero(begin).tolist(), np.flatnonzero(stop).tolist(), strict=True):
                         r = int(row_of[a])
                         spans[r].append({"first": a - int(words.first[r]), "last": b - int(words.first[r])})
-                own_items = [[found.ids[x] for x in sorted(s) if found.ids[x] is not None] for s in items]
+                own_items = [list(dict.fromkeys(found.ids[x] for x in sorted(s) if found.ids[x] is not None)) for s in items]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i),
