@@ -96,9 +96,53 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+FILTER_AUDIT = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), marks AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT w.part, coalesce(m.good, 0) AS good, coalesce(m.toxic, 0) AS toxic,
+         list_filter(['A', 'B', 'C', 'D', 'E'], lambda f: CASE f
+           WHEN 'A' THEN len(ws) < 50
+           WHEN 'B' THEN 100 * list_unique(ws) < 65 * len(ws)
+           WHEN 'C' THEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t)
+           WHEN 'D' THEN regexp_matches(t, '[#$%&*|]')
+           ELSE coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false) END) AS fails
+  FROM w LEFT JOIN marks m ON w.doc_id = m.doc_id
+), masks AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM d GROUP BY ALL
+), f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS letter FROM orders, range(1, 6) r(step)
+), applied AS (
+  SELECT m.*, s.*, list_contains(fails, letter) AS failing,
+         len(list_filter(fails, lambda x: strpos(filter_order, x) < step)) > 0 AS gone
+  FROM masks m, steps s
+), counted AS (
+  SELECT part, filter_order, step::INT AS step, letter,
+         sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN NOT gone AND failing THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN gone AND failing THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN fails = [letter] THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN NOT gone AND failing THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN NOT gone AND failing THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM applied GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted
+"""
+
 ORACLE: dict[str, str] = {
     "op3_warc": WARC,
     "op5_license_scan": LICENSES,
     "op9_substring_dedup": REPEATS,
     "op10_benchmark_decontamination": CONTAMINATION,
+    "op13_filter_audit": FILTER_AUDIT,
 }

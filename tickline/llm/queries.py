@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, license_digest, line_dedup, probminhash, pu_quality, quality_rules, sp_sampling, substring_dedup, toxicity, warc
+from . import decontam, filter_audit, license_digest, line_dedup, probminhash, pu_quality, quality_rules, sp_sampling, substring_dedup, toxicity, warc
 from .common import read_table, ship_package
 
 
@@ -78,6 +78,11 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return filter_audit.audit(filter_audit.document_masks(docs, labels))
+
+
 _ALL = [
     op1_line_dedup,
     op2_toxicity,
@@ -89,6 +94,7 @@ _ALL = [
     op8_minhash_near_dedup,
     op9_substring_dedup,
     op10_benchmark_decontamination,
+    op13_filter_audit,
 ]
 
 
