@@ -73,3 +73,62 @@ def test_removal_ranks_are_the_first_failing_step(spark, letters):
         for order, rank in zip(permutations(letters), r["ranks"], strict=True):
             steps = [order.index(x) + 1 for k, x in enumerate(letters) if r["mask"] >> k & 1]
             assert rank == min(steps) if steps else rank >= filter_audit.NEVER
+
+
+VOCAB = [f"t{i}" for i in range(40)]
+SEARCH_DOCS = [
+    *[(i, " ".join(VOCAB[(i * j) % 40] for j in range(1, 3 + i % 9)) + " Common The", "s") for i in range(60)],
+    (60, None, "s"), (61, "", "s"), (62, " -- ", "s"), (63, "t1,T1;t1 é1\x00t2", "s"), (63, "t1,T1;t1 é1\x00t2", "s"), (None, "t5 t6 only", "s"), (64, "t7 " * 30000, "s"), (7, "another text t3 of id seven", "s"),
+]
+SEARCH_ITEMS = [(1, "t1 T2 common"), (1, "t39"), (2, "the"), (3, None), (4, ""), (5, "unseen words"), (None, "t5 t7 t7"), (6, " ".join(VOCAB)), (7, "é1"), (8, "t3 t3 t3")]
+
+
+def search_by_hand(docs, items, k):
+    import math
+
+    def terms(t):
+        return [x.translate({c: c + 32 for c in range(65, 91)}) for x in re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or "")]
+
+    own = [(i, terms(t)) for i, t, _ in docs if terms(t)]
+    n_docs, total = len(own), sum(len(t) for _, t in own)
+    df = {}
+    for _, t in own:
+        for x in set(t):
+            df[x] = df.get(x, 0) + 1
+    wanted = {}
+    for i, t in items:
+        wanted.setdefault(i, set()).update(terms(t))
+    out = []
+    for item, ts in wanted.items():
+        scored = []
+        for i, t in own:
+            m = 10 + 90 * len(t) * n_docs // total
+            s = 0
+            for x in ts & set(t):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[x] + 1)))
+                s += w * (1000000000 * t.count(x) // (1000 * t.count(x) + 8 * m))
+            if s > 0:
+                scored.append((-s, i is None, i))
+        out += [(item, r, i, -s) for r, (s, _, i) in enumerate(sorted(scored, key=lambda y: y[:2] + (y[2] or 0,))[:k], 1)]
+    return out
+
+
+@pytest.mark.parametrize("k, options", [(10, {}), (3, {"block_docs": 7, "bundle_items": 2}), (2, {"block_docs": 20, "term_block": 9, "bundle_terms": 5})])
+def test_ranked_search_matches_brute_force(spark, tmp_path, k, options):
+    from tickline.llm import ranked_search
+
+    spark.createDataFrame([(*d, 1, 2) for d in SEARCH_DOCS], "doc_id long, text string, item string, score int, row int").repartition(3).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    items = spark.createDataFrame([(*i, 9) for i in SEARCH_ITEMS], "item_id long, text string, term int")
+    got = ranked_search.search(docs, items, k, **options)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, search_by_hand(SEARCH_DOCS, SEARCH_ITEMS, k)))
+
+
+def test_ranked_search_of_empty_tables(spark):
+    from tickline.llm import ranked_search
+
+    docs = spark.createDataFrame(SEARCH_DOCS, "doc_id long, text string, source string")
+    items = spark.createDataFrame(SEARCH_ITEMS, "item_id long, text string")
+    assert ranked_search.search(docs.where("1 = 0"), items).count() == 0
+    assert ranked_search.search(docs, items.where("1 = 0")).count() == 0

@@ -96,6 +96,28 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, ts, len(ts)::BIGINT AS n FROM (SELECT doc_id, {_TERMS} AS ts FROM documents) WHERE len(ts) > 0
+), totals AS (
+  SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM d
+), q AS (
+  SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), postings AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM postings, totals GROUP BY term, nd
+), scores AS (
+  SELECT q.item_id, d.doc_id, d.r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l))))::BIGINT AS score
+  FROM q JOIN weights USING (term) JOIN postings USING (term) JOIN d USING (r), totals GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
 FILTER_AUDIT = r"""
 WITH w AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
@@ -144,5 +166,6 @@ ORACLE: dict[str, str] = {
     "op5_license_scan": LICENSES,
     "op9_substring_dedup": REPEATS,
     "op10_benchmark_decontamination": CONTAMINATION,
+    "op12_ranked_search": RANKED,
     "op13_filter_audit": FILTER_AUDIT,
 }
