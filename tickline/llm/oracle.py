@@ -96,6 +96,24 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
 FROM w LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+# The layout of the given pages: one article, headings and paragraphs, line breaks and bold type inside.
+MAIN_TEXT = r"""
+WITH a AS (
+  SELECT page_id, url, unnest(string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>')) AS b,
+         generate_subscripts(string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>'), 1) AS i
+  FROM pages
+), plain AS (
+  SELECT page_id, url, i, regexp_replace(replace(b, '<br>', ' '), '</?b>', '', 'g') AS b FROM a
+), decoded AS (
+  SELECT page_id, url, i, regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g') AS b FROM plain
+), blocks AS (
+  SELECT page_id, url, i, trim(regexp_replace(b, '\s+', ' ', 'g')) AS b FROM decoded
+), texts AS (
+  SELECT page_id, url, coalesce(string_agg(b, chr(10) || chr(10) ORDER BY i) FILTER (b <> ''), '') AS text FROM blocks GROUP BY page_id, url
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM texts
+"""
+
 _TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
 RANKED = f"""
@@ -166,6 +184,7 @@ ORACLE: dict[str, str] = {
     "op5_license_scan": LICENSES,
     "op9_substring_dedup": REPEATS,
     "op10_benchmark_decontamination": CONTAMINATION,
+    "op11_html_wrappers": MAIN_TEXT,
     "op12_ranked_search": RANKED,
     "op13_filter_audit": FILTER_AUDIT,
 }

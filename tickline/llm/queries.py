@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, filter_audit, license_digest, line_dedup, probminhash, pu_quality, quality_rules, ranked_search, sp_sampling, substring_dedup, toxicity, warc
+from . import decontam, filter_audit, html_wrappers, license_digest, line_dedup, probminhash, pu_quality, quality_rules, ranked_search, sp_sampling, substring_dedup, toxicity, warc
 from .common import read_table, ship_package
 
 
@@ -78,6 +78,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -98,6 +102,7 @@ _ALL = [
     op8_minhash_near_dedup,
     op9_substring_dedup,
     op10_benchmark_decontamination,
+    op11_html_wrappers,
     op12_ranked_search,
     op13_filter_audit,
 ]
