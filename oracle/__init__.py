@@ -1 +1,8 @@
-"""DuckDB equivalents of the registered queries (the correctness oracle)."""
+"""DuckDB SQL equivalents of the registered queries."""
+
+
+def every_sql() -> dict[str, str]:
+    from oracle.duckdb_sql import oracle_sql
+    from oracle.stored_sql import stored_sql
+
+    return oracle_sql() | stored_sql()
