@@ -4,5 +4,6 @@
 def every_sql() -> dict[str, str]:
     from oracle.duckdb_sql import oracle_sql
     from oracle.stored_sql import stored_sql
+    from oracle.streams_sql import streams_sql
 
-    return oracle_sql() | stored_sql()
+    return oracle_sql() | stored_sql() | streams_sql()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickline.functions.timecols import bar_start
@@ -15,6 +15,37 @@ def _tick_order():
     return F.struct(F.col("event_ts"), F.col("seq"), F.col("venue"))
 
 
+def quote_measures() -> list[Column]:
+    """Aggregates of the quotes of one bar."""
+    order = _tick_order()
+    return [
+        F.min_by("mid", order).alias("open"),
+        F.max("mid").alias("high"),
+        F.min("mid").alias("low"),
+        F.max_by("mid", order).alias("close"),
+        F.avg("spread_bps").alias("avg_spread_bps"),
+        F.count(F.lit(1)).alias("tick_count"),
+    ]
+
+
+def volume_measures() -> list[Column]:
+    """Aggregates of the trades of one bar."""
+    sum_qty, sum_notional = F.sum("qty"), F.sum("notional")
+    return [
+        sum_qty.cast("bigint").alias("volume"),
+        sum_notional.alias("notional"),
+        F.try_divide(sum_notional, sum_qty).alias("vwap"),
+        F.count(F.lit(1)).alias("trade_count"),
+    ]
+
+
+def bar_rows(joined: DataFrame) -> DataFrame:
+    """Quotes with their minute's trades, as bars: no trades is zero volume and no vwap."""
+    none = {"volume": F.lit(0).cast("bigint"), "notional": F.lit(0.0), "trade_count": F.lit(0).cast("bigint")}
+    columns = [F.coalesce(F.col(c), none[c]).alias(c) if c in none else F.col(c) for c in joined.columns]
+    return joined.select(*columns, F.to_date("minute").alias("trade_date"))
+
+
 def build_ohlcv_1m(ticks: DataFrame, trades: DataFrame, width: str = "1 minute") -> DataFrame:
     """Bars per (symbol, minute).
 
@@ -34,20 +65,8 @@ def build_ohlcv_1m(ticks: DataFrame, trades: DataFrame, width: str = "1 minute")
     sort-merge join adds no exchange and cannot be skewed; a hot symbol is
     already cut to one row per minute by the partial aggregates.
     """
-    q = ticks.withColumn("minute", bar_start("event_ts", width)).withColumn("_order", _tick_order())
-    quotes = q.groupBy(*BAR_KEY).agg(
-        F.min_by("mid", "_order").alias("open"),
-        F.max("mid").alias("high"),
-        F.min("mid").alias("low"),
-        F.max_by("mid", "_order").alias("close"),
-        F.avg("spread_bps").alias("avg_spread_bps"),
-        F.count(F.lit(1)).alias("tick_count"),
-    )
-    return (
-        quotes.join(build_minute_volume(trades, width), BAR_KEY, "left")
-        .fillna({"volume": 0, "notional": 0.0, "trade_count": 0})
-        .withColumn("trade_date", F.to_date("minute"))
-    )
+    quotes = ticks.withColumn("minute", bar_start("event_ts", width)).groupBy(*BAR_KEY).agg(*quote_measures())
+    return bar_rows(quotes.join(build_minute_volume(trades, width), BAR_KEY, "left"))
 
 
 def build_ohlcv_1m_single_aggregate(ticks: DataFrame, trades: DataFrame, width: str = "1 minute") -> DataFrame:
@@ -110,15 +129,4 @@ def build_ohlcv_1m_single_aggregate(ticks: DataFrame, trades: DataFrame, width:
 
 def build_minute_volume(trades: DataFrame, width: str = "1 minute") -> DataFrame:
     """Trade volume per (symbol, minute): Σqty, Σnotional, VWAP, count."""
-    sum_qty = F.sum("qty")
-    sum_notional = F.sum("notional")
-    return (
-        trades.withColumn("minute", bar_start("event_ts", width))
-        .groupBy(*BAR_KEY)
-        .agg(
-            sum_qty.cast("bigint").alias("volume"),
-            sum_notional.alias("notional"),
-            F.try_divide(sum_notional, sum_qty).alias("vwap"),
-            F.count(F.lit(1)).alias("trade_count"),
-        )
-    )
+    return trades.withColumn("minute", bar_start("event_ts", width)).groupBy(*BAR_KEY).agg(*volume_measures())

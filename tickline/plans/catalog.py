@@ -20,6 +20,7 @@ from tickline.operators.silver import TICK_KEY, TRADE_KEY, dedupe, kind_rows
 from tickline.plans.lineage import Lineage
 from tickline.plans.pipeline import Pipeline
 from tickline.plans.stored import QUERIES as STORED_QUERIES
+from tickline.plans.streams import QUERIES as STREAM_QUERIES
 from tickline.quality.checks import run_contract, source_freshness
 from tickline.quality.contracts import Contract, DatasetChecks, load_builtin
 from tickline.quality.marts import MART_CONTRACTS, SOURCE_FRESHNESS, mart_contract, relationships
@@ -501,4 +502,5 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": q_stream_bronze,
     "stream_bars": q_stream_bars,
     **STORED_QUERIES,
+    **STREAM_QUERIES,
 }
