@@ -18,6 +18,7 @@ from tickline.operators import bars as bars_ops
 from tickline.operators import ops, risk as risk_ops, serving
 from tickline.operators.silver import TICK_KEY, TRADE_KEY, dedupe, kind_rows
 from tickline.plans.lineage import Lineage
+from tickline.plans.periods import QUERIES as PERIOD_QUERIES
 from tickline.plans.pipeline import Pipeline
 from tickline.plans.stored import QUERIES as STORED_QUERIES
 from tickline.plans.streams import QUERIES as STREAM_QUERIES
@@ -503,4 +504,5 @@ QUERIES: dict[str, Query] = {
     "stream_bars": q_stream_bars,
     **STORED_QUERIES,
     **STREAM_QUERIES,
+    **PERIOD_QUERIES,
 }
