@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracle.duckdb_sql import _results, sql
 from tickline.plans.stored import BROKEN_EVERY, FIRST_RUN, MISSING_SECTOR, SECOND_RUN
 from tickline.quality.contracts import load_builtin
+from tickline.sources.feed import DIRT_EVERY, REDELIVERY_OFFSET
 
 _BAD = f"date_part('minute', minute) % {BROKEN_EVERY} = 0"
 BROKEN = (
@@ -35,6 +36,13 @@ def _audit() -> str:
 
 def stored_sql() -> dict[str, str]:
     return {
+        "incremental_rejected": sql(
+            "SELECT event_type, symbol, venue, seq, event_ts_parsed AS event_ts, bid, ask, bid_size, ask_size, last, kafka_offset, "
+            f"CASE WHEN kafka_offset >= {REDELIVERY_OFFSET} THEN ingested_at + INTERVAL 2 DAY ELSE ingested_at END AS ingested_at, "
+            "(bid + ask) / 2 AS mid, (ask - bid) / ((bid + ask) / 2) * 10000 AS spread_bps, CAST(event_ts_parsed AS DATE) AS trade_date "
+            f"FROM ticks_tagged WHERE quarantine_reason IS NULL AND NOT (kafka_offset < {REDELIVERY_OFFSET} AND kafka_offset % {DIRT_EVERY['redelivered']} = 0) "
+            "QUALIFY row_number() OVER (PARTITION BY symbol, venue, seq ORDER BY kafka_offset) = 1"
+        ),
         "catalog_marts": sql(
             "SELECT b.symbol, b.trade_date, p.sector, p.liquidity_rank, p.vol_bucket, count(*) AS bars, "
             "CAST(sum(b.volume) AS BIGINT) AS bar_volume, any_value(p.total_volume) AS total_volume, "

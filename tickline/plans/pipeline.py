@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tickline.operators import bars as bars_ops
 from tickline.operators import marts, ops, risk as risk_ops
-from tickline.operators.silver import DEDUPE_ORDER, TICK_KEY, TRADE_KEY, build_silver, dedupe, parse_all
+from tickline.operators.silver import DEDUPE_ORDER, TICK_KEY, TRADE_KEY, build_silver, dedupe, losers, parse_all
 from tickline.quality.checks import enforce, run_contract
 from tickline.quality.contracts import load_builtin
 from tickline.quality.marts import MART_CONTRACTS, mart_contract, relationships
@@ -40,6 +40,15 @@ from tickline.sources.tables import Lake
 logger = logging.getLogger(__name__)
 
 
+#: Silver tables: message kind and business key.
+KINDS = {"ticks": ("tick", TICK_KEY), "trades": ("trade", TRADE_KEY)}
+
+
+def _copies(name: str) -> str:
+    """The table of clean rows that lost to an earlier copy."""
+    return f"{name}_copies"
+
+
 class EmptyBronzeError(RuntimeError):
     """Bronze holds no rows: the ingest is not running."""
 
@@ -176,20 +185,24 @@ class Pipeline:
             incremental = ingest_dates is not None
             if incremental:
                 self.touched_trade_dates = self._touched(out, ingest_dates)
+            outputs = out.tables()
+            for name in KINDS:
+                every = self._with_stored(name, out.clean[name], ingest_dates) if incremental else out.clean[name]
+                if every is not out.clean[name]:
+                    outputs[name] = dedupe(every, KINDS[name][1], DEDUPE_ORDER)
+                outputs[_copies(name)] = losers(every, KINDS[name][0])
             tasks = {}
-            for name, df in out.tables().items():
+            for name, df in outputs.items():
                 part, only = "trade_date", self.touched_trade_dates
-                if name not in ("ticks", "trades"):
+                if name.startswith("quarantine"):
                     df = df.withColumn("ingest_date", F.to_date("ingested_at")) if "ingest_date" not in df.columns else df
                     part, only = "ingest_date", ingest_dates
-                elif incremental:
-                    df = self._merge_silver(name, df, ingest_dates)
 
                 tasks[name] = lambda df=df, name=name, part=part, only=only if incremental else None: _publish_counted(
                     df, f"silver_{name}", self._path("silver", name), [part], self.lake.fmt, only
                 )
             # The first write parses bronze into the cache (and counts it);
-            # the other four then read the cache as concurrent jobs.
+            # the others then read the cache as concurrent jobs.
             counts = {"ticks": tasks.pop("ticks")()}
             counts.update(_concurrently(tasks))
             bronze_rows = int(obs.get["rows"])
@@ -203,33 +216,35 @@ class Pipeline:
     def _touched(self, out, ingest_dates: list) -> list:
         """Trade dates that rows of ``ingest_dates`` have, or had when they were last stored."""
         dates = out.ticks.select("trade_date").unionByName(out.trades.select("trade_date"))
-        for name in ("ticks", "trades"):
+        for name in [t for kind in KINDS for t in (kind, _copies(kind))]:
             stored = tables.read_if_exists(self.spark, self._path("silver", name), self.lake.fmt)
             if stored is not None:
                 dates = dates.unionByName(stored.where(F.to_date("ingested_at").isin(*ingest_dates)).select("trade_date"))
         return sorted(r[0] for r in dates.distinct().collect() if r[0] is not None)
 
-    def _merge_silver(self, name: str, fresh: DataFrame, ingest_dates: list) -> DataFrame:
-        """New silver rows merged with the stored rows of the trade dates they touch.
+    def _with_stored(self, name: str, fresh: DataFrame, ingest_dates: list) -> DataFrame:
+        """All clean rows of the touched trade dates: the re-run dates' new ones and the others' stored ones.
 
         A redelivered copy can arrive on a later ingest date than the
         original; both carry the same event time, hence the same trade date.
-        So the stored rows of the touched trade dates (a literal list, which
-        prunes partitions) that came from other ingest dates are unioned with
-        the new rows and de-duplicated with the same total order. Rows that
-        the re-run dates gave before are left out, so what a changed rule now
-        rejects goes. A copy that lost to such a row on another ingest date
-        comes back when that date is re-run, or on a full rebuild. The result
-        is checkpointed into the shared folder, which cuts its lineage to the
-        stored files, so those partitions can be overwritten.
+        The stored rows of the touched trade dates (a literal list, which
+        prunes partitions) that came from other ingest dates are survivors
+        and, in a small table beside them, the copies that lost; with the new
+        rows they are all clean rows there are, so the same total order picks
+        the survivor a full rebuild would, also when a re-run now rejects a
+        first copy. The rows are checkpointed into the shared folder, which
+        cuts their lineage to the stored files, so those can be overwritten.
         """
-        key = TICK_KEY if name == "ticks" else TRADE_KEY
-        stored = tables.read_if_exists(self.spark, self._path("silver", name), self.lake.fmt)
-        if stored is None:
+        own = ~F.to_date("ingested_at").isin(*ingest_dates) & F.col("trade_date").isin(*self.touched_trade_dates)
+        every = fresh
+        for table in (name, _copies(name)):
+            stored = tables.read_if_exists(self.spark, self._path("silver", table), self.lake.fmt)
+            if stored is not None:
+                every = every.unionByName(stored.where(own).select(*fresh.columns))
+        if every is fresh:
             return fresh
-        kept = stored.where(F.col("trade_date").isin(*self.touched_trade_dates) & ~F.to_date("ingested_at").isin(*ingest_dates))
         checkpoint_root(self.spark)
-        return dedupe(kept.select(*fresh.columns).unionByName(fresh), key, DEDUPE_ORDER).checkpoint(eager=True)
+        return every.checkpoint(eager=True)
 
     def _now(self, df: DataFrame) -> DataFrame:
         """The trade dates this run rebuilt; all of them on a full run.
