@@ -15,7 +15,7 @@ Nodes of a bucket that then still holds several classes are signed again with
 more registers and longer bands, whose smaller buckets have centres of their
 own. The nodes of first buckets that are divided even then get an exact join:
 every two of them in different classes that can be similar share one of their
-rarest shingles (see ``_rare_pairs``), and all such pairs are verified. Classes
+rarest shingles (see ``_rare_pairs``); those whose sketches agree are verified. Classes
 are the connected components of the verified links. A link is missed only if
 its two ends share none of the first buckets, one in 5,000 at similarity 0.8.
 
@@ -32,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import SPACE_TABLE, Words, chunks, find_words, list_column, materialise, mix, window_hash
 from .components import connected_components, merge_labels
@@ -45,7 +47,9 @@ _ID_BITS = np.uint64(48)
 _ID_MASK = np.uint64((1 << 48) - 1)
 #: A pair of a first or finer bucket is verified if this share of registers agrees; at similarity 0.8 fewer than one in 10**11 pairs has fewer.
 _LIKELY = 0.4
-#: Rows of a shingle that one task joins with the rows of small classes.
+#: Registers of the sketch by which nodes that share a rare shingle are compared.
+SKETCH = 512
+#: A block of the exact join has about so many nodes outside the shingle's largest class, and four times as many of all.
 _SALT_ROWS = 512
 
 
@@ -238,14 +242,16 @@ def _open_nodes(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _rare_pairs(content: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """All pairs ``u, v`` of nodes in different classes whose similarity can reach ``threshold``.
+    """Pairs ``u, v`` of nodes in different classes that may be similar: all that reach ``threshold``.
 
     Shingles that hold the shares ``a`` and ``b`` of two nodes' weights in
     common bound J_P by ``1 / (1 / a + 1 / b - 1)``. In one order of all
     shingles, rarest first, the first common one has at most ``1 - a`` and
     ``1 - b`` of the nodes' weights before it; a pair meets there if these
     shares allow the threshold. The largest class of a shingle's nodes is not
-    paired with itself, and the nodes of a frequent shingle are dealt out.
+    compared with itself, and the nodes of a frequent shingle are dealt out in
+    blocks. A block compares its nodes' sketches in arrays and gives the likely
+    pairs alone, so what is emitted follows the similar pairs, not all that meet.
     """
     total = F.aggregate("weights", F.lit(0).cast("long"), lambda acc, w: acc + w)
     rows = content.select("node", total.alias("total"), F.explode(F.arrays_zip("ids", "weights")).alias("s")).select("node", "total", F.col("s.ids").alias("id"), F.col("s.weights").alias("weight"))
@@ -258,14 +264,77 @@ def _rare_pairs(content: DataFrame, labels: DataFrame, threshold: float) -> Data
     prefix = ranked.where((F.col("n") > 1) & (F.col("reach") <= most - 1)).select("id", "node", "reach")
     prefix = materialise(prefix.join(labels.hint("merge"), "node", "left").select("id", "node", "reach", F.coalesce("label", "node").alias("label")), "prefix")
     held = prefix.groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = held.groupBy("id").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("held")).where("held > 1")
-    mixed = materialise(mixed.select("id", "main", F.expr(f"cast(size div {_SALT_ROWS} as int) + 1").alias("parts")), "mixed")
-    shared = materialise(prefix.join(mixed.hint("merge"), "id"), "shared_prefix")
-    few = shared.where("label <> main").select("id", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("node").alias("u"), F.col("label").alias("lu"), F.col("reach").alias("ru"))
-    every = shared.select("id", F.pmod(F.hash("node"), F.col("parts")).alias("part"), F.col("node").alias("v"), F.col("label").alias("lv"), F.col("reach").alias("rv"), (F.col("label") == F.col("main")).alias("mainly"))
-    meet = (F.col("lu") != F.col("lv")) & (F.col("ru") + F.col("rv") <= most) & (F.col("mainly") | (F.col("u") < F.col("v")))
-    joined = few.hint("merge").join(every, (few["id"] == every["id"]) & (few["part"] == every["part"]) & meet)
-    return materialise(joined.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "rare_pairs")
+    mixed = held.groupBy("id").agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    few_parts, parts = F.expr(f"cast((size - main.n) div {_SALT_ROWS} as int) + 1"), F.expr(f"cast(size div {4 * _SALT_ROWS} as int) + 1")
+    mixed = materialise(mixed.select("id", F.col("main.label").alias("main"), few_parts.alias("few_parts"), parts.alias("parts")), "mixed")
+    shared = materialise(prefix.join(mixed.hint("merge"), "id").drop("reach"), "shared_prefix")
+    # each node with its own shared prefix and a sketch, so that a task tells likely pairs without their shingles
+    kind = content.schema["node"].dataType.simpleString()
+    sketches = content.mapInArrow(_sketch, f"node {kind}, sketch binary")
+    own = shared.groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("own")).join(sketches.hint("merge"), "node")
+    rows = materialise(shared.join(own.hint("merge"), "node"), "sketched")
+    # read apart, so that the two sides of the grouping don't share column identities
+    again = content.sparkSession.read.schema(rows.schema).parquet(rows.scratch_path)
+    every = again.withColumn("part", F.pmod(F.hash("node"), F.col("parts"))).withColumn("few_part", F.explode(F.sequence(F.lit(0), F.col("few_parts") - 1)))
+    few = rows.where("label <> main").withColumn("few_part", F.pmod(F.hash("node"), F.col("few_parts"))).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    columns = ["id", "few_part", "part", "node", "label", "main", "own", "sketch"]
+    blocks = few.select(columns).groupBy("id", "few_part", "part").cogroup(every.select(columns).groupBy("id", "few_part", "part"))
+    pair = T.StructType([T.StructField(c, content.schema["node"].dataType) for c in "uv"])
+    found = blocks.applyInArrow(_likely_in_block(threshold, pair), pair)
+    return materialise(found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "rare_pairs")
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One byte of each of ``SKETCH`` registers."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 256):
+            part = batch.slice(i, 256)
+            ids, weights = part.column(1), part.column(2)
+            row = np.repeat(np.arange(part.num_rows), np.diff(ids.offsets.to_numpy()))
+            flat = [c.flatten().to_numpy(zero_copy_only=False) for c in (ids, weights)]
+            sig = signatures(row, flat[0].astype(np.int64).view(np.uint64), flat[1], part.num_rows, SKETCH).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in sig], type=pa.binary())], names=["node", "sketch"])
+
+
+def _likely_in_block(threshold: float, schema: T.StructType):
+    """Pairs of a block, in different classes, whose sketches agree as those of similar nodes do.
+
+    At the threshold, the share of equal registers is below the cut (six
+    standard deviations less) for one pair in 10**9. A pair that shares
+    several shingles is given by the smallest of them alone.
+    """
+    cut = (threshold - 6 * (threshold * (1 - threshold) / SKETCH) ** 0.5) * SKETCH
+
+    def run(few: pa.Table, every: pa.Table) -> pa.Table:
+        picked_u: list[int] = []
+        picked_v: list[int] = []
+        # a side without rows has no columns either
+        if not few.num_rows or not every.num_rows:
+            return to_arrow_schema(schema).empty_table()
+        v = every.column("node").combine_chunks()
+        u = few.column("node").combine_chunks()
+        if len(u):
+            block = few.column("id")[0].as_py()
+            sketch = np.frombuffer(b"".join(every.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(v), SKETCH)
+            label_u, label_v = few.column("label").to_pylist(), np.array(every.column("label").to_pylist(), dtype=object)
+            of_main = np.array([x == y for x, y in zip(label_v, every.column("main").to_pylist(), strict=True)])
+            own_v = every.column("own").combine_chunks()
+            nodes_u, nodes_v = u.to_pylist(), v.to_pylist()
+            for i, mine in enumerate(few.column("sketch").to_pylist()):
+                alike = np.flatnonzero((sketch == np.frombuffer(mine, dtype=np.uint8)).sum(axis=1) >= cut)
+                if not len(alike):
+                    continue
+                own = few.column("own")[i].values.to_numpy()
+                for j in alike.tolist():
+                    # two nodes outside the main class meet twice: once is enough
+                    if label_v[j] == label_u[i] or not (of_main[j] or nodes_u[i] < nodes_v[j]):
+                        continue
+                    if np.intersect1d(own, own_v[j].values.to_numpy(), assume_unique=True)[0] == block:
+                        picked_u.append(i)
+                        picked_v.append(j)
+        return pa.table({"u": u.take(pa.array(picked_u, type=pa.int64())), "v": v.take(pa.array(picked_v, type=pa.int64()))})
+
+    return run
 
 
 def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS, band: int = BAND, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -147,6 +147,8 @@ class _Bundle:
 
     def add(self, owner: int, postings: pa.Table, k: int) -> None:
         """Add the contributions of ``owner``'s postings; drop what can't be among the k best here."""
+        if not postings.num_rows:  # a side without rows has no columns either
+            return
         found = {c: postings.column(c).combine_chunks() for c in postings.column_names}
         new_rows = found["row"].to_numpy()
         every, first, local = np.unique(np.concatenate((self.rows, new_rows)), return_index=True, return_inverse=True)
