@@ -253,13 +253,14 @@ def _rare_pairs(content: DataFrame, labels: DataFrame, threshold: float) -> Data
     blocks. A block compares its nodes' sketches in arrays and gives the likely
     pairs alone, so what is emitted follows the similar pairs, not all that meet.
     """
-    total = F.aggregate("weights", F.lit(0).cast("long"), lambda acc, w: acc + w)
-    rows = content.select("node", total.alias("total"), F.explode(F.arrays_zip("ids", "weights")).alias("s")).select("node", "total", F.col("s.ids").alias("id"), F.col("s.weights").alias("weight"))
+    rows = content.select("node", F.explode(F.arrays_zip("ids", "weights")).alias("s")).select("node", F.col("s.ids").alias("id"), F.col("s.weights").alias("weight"))
     often = materialise(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
     order = Window.partitionBy("node").orderBy("n", "id").rowsBetween(Window.unboundedPreceding, -1)
     ranked = rows.join(often.hint("merge"), "id", "left").withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
     before = F.coalesce(F.sum("weight").over(order), F.lit(0).cast("long"))
-    ranked = ranked.select("id", "node", "n", (F.col("total") / (F.col("total") - before)).alias("reach"))
+    # a sum over the node's rows: as an expression on its array it would be worked out anew for each of them
+    total = F.sum("weight").over(Window.partitionBy("node"))
+    ranked = ranked.select("id", "node", "n", (total / (total - before)).alias("reach"))
     most = 1 + 1 / threshold + 1e-9
     prefix = ranked.where((F.col("n") > 1) & (F.col("reach") <= most - 1)).select("id", "node", "reach")
     prefix = materialise(prefix.join(labels.hint("merge"), "node", "left").select("id", "node", "reach", F.coalesce("label", "node").alias("label")), "prefix")
