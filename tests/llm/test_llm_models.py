@@ -140,3 +140,13 @@ def test_components(spark):
     labels = connected_components(edges([(1, 2), (5, 6)]))
     more = {r["node"]: r["label"] for r in merge_labels(labels, edges([(2, 9), (9, 6), (20, 21)])).collect()}
     assert more == {1: 1, 2: 1, 5: 1, 6: 1, 9: 1, 20: 20, 21: 20}
+
+
+def test_small_share_of_a_huge_table_is_not_none(spark):
+    from pyspark.sql import functions as F
+
+    from tickline.llm.common import sampled
+
+    rows = spark.range(20_000_000).where(sampled(F.xxhash64("id"), 12_000 / 2.4e10))
+    assert 2 <= rows.count() <= 30
+    assert spark.range(1000).where(sampled(F.xxhash64("id"), 3.0)).count() == 1000

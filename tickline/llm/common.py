@@ -8,11 +8,12 @@ single text larger than that is a chunk of its own).
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -102,6 +103,28 @@ def text_key(text: Column) -> Column:
     return F.when(text.isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(text))
 
 
+def sampled(hashed: Column, share: float) -> Column:
+    """Whether a 64-bit hash falls into a ``share`` of all; exact to 2**-62, so a small share of a huge table isn't none."""
+    return F.pmod(hashed, F.lit(1 << 62)) < F.lit(int(min(1.0, share) * (1 << 62)))
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker gives freed memory back: worker processes outlive their tasks and stages."""
+
+    def run_and_release(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _powers.clear()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # not the GNU C library: nothing to trim
+                pass
+
+    return run_and_release
+
+
 # ---------------------------------------------------------------- word arrays
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, discard, materialise, mix, powers, text_key
+from .common import chunks, discard, lean, materialise, mix, powers, text_key
 
 MAX_EDITS = 2
 CHARS_PER_EDIT = 20
@@ -208,8 +208,8 @@ def edit_join(lines: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: int
     Each link comes once, the shorter line first (of equal ones the smaller id).
     """
     narrow = lines.select("line_id", "line").where(F.length("line") >= chars_per_edit)
-    index = narrow.mapInArrow(_keys(False, max_edits, chars_per_edit), "key long, line_id long, parity long")
-    probe = narrow.mapInArrow(_keys(True, max_edits, chars_per_edit), "key long, probe_id long, probe_parity long")
+    index = narrow.mapInArrow(lean(_keys(False, max_edits, chars_per_edit)), "key long, line_id long, parity long")
+    probe = narrow.mapInArrow(lean(_keys(True, max_edits, chars_per_edit)), "key long, probe_id long, probe_parity long")
     near = F.bit_count(F.col("parity").bitwiseXOR(F.col("probe_parity"))) <= 4 * max_edits
     pairs = index.join(probe, (index["key"] == probe["key"]) & (F.col("line_id") != F.col("probe_id")) & near)
     pairs = materialise(pairs.select(F.least("line_id", "probe_id").alias("a"), F.greatest("line_id", "probe_id").alias("b")).distinct(), "pairs")
@@ -226,7 +226,7 @@ def edit_join(lines: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: int
         F.when(turn, F.col("lb")).otherwise(F.col("la")).alias("la"),
         F.when(turn, F.col("la")).otherwise(F.col("lb")).alias("lb"),
     )
-    links = materialise(both.mapInArrow(_verify(max_edits, chars_per_edit), "a long, b long, distance int"), "links")
+    links = materialise(both.mapInArrow(lean(_verify(max_edits, chars_per_edit)), "a long, b long, distance int"), "links")
     discard(pairs, used)
     return links
 
@@ -297,7 +297,7 @@ def dedup(docs: DataFrame, max_edits: int = MAX_EDITS, chars_per_edit: int = CHA
     gone, n_links = removed_lines(docs, max_edits, chars_per_edit, id_col, text_col)
     spans = gone.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("gone"))  # a text's own lines
     joined = base.join(spans.hint("merge"), ["doc_id", "text_key"], "left").select("doc_id", "text_key", "text", "gone")
-    out = joined.mapInArrow(_drop_lines, f"doc_id {kind}, text_key long, n_lines long, n_removed long, kept_sha256 string, kept_text string")
+    out = joined.mapInArrow(lean(_drop_lines), f"doc_id {kind}, text_key long, n_lines long, n_removed long, kept_sha256 string, kept_text string")
     return out.join(n_links, "doc_id", "left").select("doc_id", "text_key", "n_lines", "n_removed", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "kept_sha256", "kept_text")
 
 

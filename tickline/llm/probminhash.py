@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import SPACE_TABLE, Words, chunks, find_words, list_column, materialise, mix, window_hash
+from .common import SPACE_TABLE, chunks, find_words, lean, list_column, materialise, mix, window_hash, Words
 from .components import connected_components, merge_labels
 
 SHINGLE = 5
@@ -184,7 +184,7 @@ def _verified(pairs: DataFrame, content: DataFrame, threshold: float) -> DataFra
     a = content.select(F.col("node").alias("u"), F.col("ids").alias("ia"), F.col("weights").alias("wa"))
     b = content.select(F.col("node").alias("v"), F.col("ids").alias("ib"), F.col("weights").alias("wb"))
     joined = pairs.join(a.hint("merge"), "u").join(b.hint("merge"), "v").select("u", "v", "ia", "wa", "ib", "wb")
-    return materialise(joined.mapInArrow(_verify(threshold), f"u {kind}, v {kind}"), "links")
+    return materialise(joined.mapInArrow(lean(_verify(threshold)), f"u {kind}, v {kind}"), "links")
 
 
 def _sign_content(registers: int, band: int):
@@ -271,7 +271,7 @@ def _rare_pairs(content: DataFrame, labels: DataFrame, threshold: float) -> Data
     shared = materialise(prefix.join(mixed.hint("merge"), "id").drop("reach"), "shared_prefix")
     # each node with its own shared prefix and a sketch, so that a task tells likely pairs without their shingles
     kind = content.schema["node"].dataType.simpleString()
-    sketches = content.mapInArrow(_sketch, f"node {kind}, sketch binary")
+    sketches = content.mapInArrow(lean(_sketch), f"node {kind}, sketch binary")
     own = shared.groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("own")).join(sketches.hint("merge"), "node")
     rows = materialise(shared.join(own.hint("merge"), "node"), "sketched")
     # read apart, so that the two sides of the grouping don't share column identities
@@ -343,7 +343,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS,
     text: Column = F.col(text_col)
     base = docs.select(F.col(id_col).alias("doc_id"), F.when(text.isNotNull(), F.xxhash64(text)).alias("k1"), F.hash(text).alias("k2"), text.alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
-    signed = materialise(base.mapInArrow(_sign(registers, band), f"doc_id {kind}, k1 long, k2 int, bands array<long>, sig array<int>"), "signed")
+    signed = materialise(base.mapInArrow(lean(_sign(registers, band)), f"doc_id {kind}, k1 long, k2 int, bands array<long>, sig array<int>"), "signed")
 
     present = signed.where(F.col("doc_id").isNotNull() & F.col("k1").isNotNull())
     equal = materialise(present.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "equal")
@@ -355,13 +355,13 @@ def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS,
     first = members
     used = members.select("node").distinct()
     content = base.select(F.col("doc_id").alias("node"), "text").join(used.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
-    content = materialise(content.mapInArrow(_shingle_rows, f"node {kind}, ids array<long>, weights array<int>"), "content")
+    content = materialise(content.mapInArrow(lean(_shingle_rows), f"node {kind}, ids array<long>, weights array<int>"), "content")
     labels = connected_components(_links(pairs, nodes, content, threshold))
     for finer_registers, finer_band in FINER:
         left = _open_nodes(members, labels)
         if left.isEmpty():
             break
-        finer = content.join(left, "node", "left_semi").mapInArrow(_sign_content(finer_registers, finer_band), f"node {kind}, bands array<long>")
+        finer = content.join(left, "node", "left_semi").mapInArrow(lean(_sign_content(finer_registers, finer_band)), f"node {kind}, bands array<long>")
         members, pairs = _star(materialise(finer, "finer"), labels)
         links = _links(pairs, nodes, content, threshold)
         if not links.isEmpty():

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_TABLE, chunks, find_words
+from .common import SPACE_TABLE, chunks, find_words, sampled
 
 FEATURES = (
     "log_words", "word_length", "long_words", "distinct", "top_word", "repeated_pairs", "upper", "digits", "marks",
@@ -201,11 +201,10 @@ def fit(docs: DataFrame, positives: DataFrame, unlabelled_out: DataFrame | None
     total_good, total = good.count(), docs.count()
     if not total_good or total <= total_good:
         return None, 0.5
-    pick = F.pmod(F.xxhash64("__id", F.lit(7)), F.lit(1_000_000))
-    good_sample = good.where(pick < int(min(1.0, sample / total_good) * 1_000_000)).withColumn("__p", F.lit(True))
+    good_sample = good.where(sampled(F.xxhash64("__id", F.lit(7)), sample / total_good)).withColumn("__p", F.lit(True))
     base = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
     # a candidate for the unlabelled sample is chosen by its id before any join; both are bounded by ``sample``
-    others = base.where((F.pmod(F.xxhash64("__id", F.lit(8)), F.lit(1_000_000)) < int(min(1.0, sample / total) * 1_000_000)))
+    others = base.where(sampled(F.xxhash64("__id", F.lit(8)), sample / total))
     ids = others.select("__id").join(good.hint("merge"), "__id", "left_anti")
     if unlabelled_out is not None:
         ids = ids.join(unlabelled_out.toDF("__id").hint("merge"), "__id", "left_anti")

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sampled
+
 # Seed words and weights, exception phrases, look-alikes.
 SEEDS = {"idiot": 2.0, "stupid": 1.5, "moron": 2.0, "scum": 2.0, "loser": 1.5, "trash": 1.0, "disgusting": 1.5, "worthless": 1.5, "pathetic": 1.5, "clown": 1.0, "imbecile": 2.0, "bastard": 2.0}
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "idiot proof", "pond scum", "loser bracket", "not stupid", "no idiot")
@@ -129,7 +131,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int, seed: int,
     labels = labels.toDF("__id", "__label").where(F.col("__id").isNotNull() & F.col("__label").isNotNull())
     total = labels.count()
     share = 1.0 if total <= sample else sample / total
-    chosen = labels.where(F.pmod(F.xxhash64("__id", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = labels.where(sampled(F.xxhash64("__id", F.lit(seed)), share))
     # bounded by ``sample``, so it may be broadcast and the texts aren't shuffled
     return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__id").select("text", F.col("__label").cast("int").alias("label"))
 
