@@ -187,6 +187,14 @@ def test_near_copies_inside_a_template_group(spark):
     assert got == {i: i - i % 2 for i, _ in rows}
 
 
+def test_several_texts_of_one_id_join_their_classes(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(5, a), (5, b), (7, a + " word"), (8, b + " word"), (9, "of its own"), (9, None)]
+    for parts in (1, 4):
+        got = rows_of(probminhash.classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)), "doc_id", "class_id")
+        assert got == [(5, 5), (5, 5), (7, 5), (8, 5), (9, 9), (9, 9)]
+
+
 def test_line_dedup_matches_brute_force(docs, none):
     blanks = " \t\n\x0b\x0c\r"
 

@@ -45,6 +45,25 @@ def test_folding_and_exceptions():
     assert lexicon.features(None) == (0.0, 0, 0) == lexicon.features(" \n")
 
 
+def test_exceptions_of_a_long_text_match_brute_force():
+    import random
+    import time
+
+    rnd = random.Random(7)
+    lexicon = toxicity.Lexicon({" clown": 1.0, " fish": 2.0, " not ": 0.5, " scum ": 3.0})
+    plain = {"clown": 1.0, "fish": 2.0, "not": 0.5, "scum": 3.0}
+    words = [rnd.choice(["clown", "fish", "not", "stupid", "pond", "scum", "a"]) for _ in range(3000)]
+    covered = set()
+    for k, pair in enumerate(zip(words, words[1:], strict=False)):
+        if " ".join(pair) in toxicity.EXCEPTIONS:
+            covered |= {k, k + 1}
+    free = [w for k, w in enumerate(words) if w in plain and k not in covered]
+    assert lexicon.features(" ".join(words))[:2] == (sum(plain[w] for w in free), len(free))
+    begun = time.monotonic()
+    assert lexicon.features("clown fish clown " * 100_000)[1] == 100_000
+    assert time.monotonic() - begun < 20
+
+
 def test_toxicity_without_labels_or_rows(spark, awkward):
     empty = spark.createDataFrame([], "doc_id long, toxic int")
     lexicon, curve = toxicity.fit(awkward, empty)

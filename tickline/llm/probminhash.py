@@ -20,8 +20,9 @@ are the connected components of the verified links. A link is missed only if
 its two ends share none of the first buckets, one in 5,000 at similarity 0.8.
 
 Defined cases: a null text is alone; a text without words is like those equal
-to it alone; one of under five words is a single shingle; rows of one id are one document; a null id has
-a null class.
+to it alone; one of under five words is a single shingle; rows of one id are one document,
+so its different texts join their classes; a null id has a null class. Equal
+texts are told by a 64-bit digest.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import SPACE_TABLE, chunks, find_words, lean, list_column, materialise, mix, window_hash, Words
+from .common import SPACE_TABLE, chunks, discard, find_words, lean, list_column, materialise, mix, window_hash, Words
 from .components import connected_components, merge_labels
 
 SHINGLE = 5
@@ -113,11 +114,11 @@ def _sign(registers: int, band: int):
                 bounds = np.concatenate(([0], np.cumsum(some)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[batch.column(k).slice(i, j - i) for k in range(3)],
+                        *[batch.column(k).slice(i, j - i) for k in range(2)],
                         list_column(acc[some].view(np.int64).ravel(), bounds * bands),
                         list_column((sig[some] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32).ravel(), bounds * registers),
                     ],
-                    names=["doc_id", "k1", "k2", "bands", "sig"],
+                    names=["doc_id", "k1", "bands", "sig"],
                 )
 
     return run
@@ -341,27 +342,29 @@ def _likely_in_block(threshold: float, schema: T.StructType):
 def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS, band: int = BAND, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id``: the smallest id of the document's near-duplicate class; a row for each row of ``docs``."""
     text: Column = F.col(text_col)
-    base = docs.select(F.col(id_col).alias("doc_id"), F.when(text.isNotNull(), F.xxhash64(text)).alias("k1"), F.hash(text).alias("k2"), text.alias("text"))
+    base = docs.select(F.col(id_col).alias("doc_id"), F.when(text.isNotNull(), F.xxhash64(text)).alias("k1"), text.alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
-    signed = materialise(base.mapInArrow(lean(_sign(registers, band)), f"doc_id {kind}, k1 long, k2 int, bands array<long>, sig array<int>"), "signed")
+    signed = materialise(base.mapInArrow(lean(_sign(registers, band)), f"doc_id {kind}, k1 long, bands array<long>, sig array<int>"), "signed")
 
+    # a node is a distinct text, known by its digest; ``first`` is the smallest id that has it
     present = signed.where(F.col("doc_id").isNotNull() & F.col("k1").isNotNull())
-    equal = materialise(present.groupBy("k1", "k2").agg(F.min("doc_id").alias("node")), "equal")
-    own = materialise(present.select("doc_id", "k1", "k2").join(equal, ["k1", "k2"]).select("doc_id", "node").distinct(), "own")
-    firsts = own.where("doc_id = node").select("node").distinct()
-    nodes = materialise(signed.withColumnRenamed("doc_id", "node").join(firsts, "node").dropDuplicates(["node"]).select("node", "bands", "sig"), "nodes")
+    equal = materialise(present.groupBy(F.col("k1").alias("node")).agg(F.min("doc_id").alias("first")), "equal")
+    own = materialise(present.select("doc_id", F.col("k1").alias("node")).join(equal, "node").select("doc_id", "node", "first").distinct(), "own")
+    of_first = (F.col("doc_id") == F.col("first")) & (F.col("k1") == F.col("node"))
+    nodes = materialise(signed.join(equal.hint("merge"), of_first).select("node", "bands", "sig").dropDuplicates(["node"]), "nodes")
+    discard(signed)
 
     members, pairs = _star(nodes, None)
     first = members
-    used = members.select("node").distinct()
-    content = base.select(F.col("doc_id").alias("node"), "text").join(used.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
-    content = materialise(content.mapInArrow(lean(_shingle_rows), f"node {kind}, ids array<long>, weights array<int>"), "content")
+    used = members.select("node").distinct().join(equal, "node")
+    content = base.select("doc_id", "k1", "text").join(used.hint("merge"), of_first).select("node", "text").dropDuplicates(["node"])
+    content = materialise(content.mapInArrow(lean(_shingle_rows), "node long, ids array<long>, weights array<int>"), "content")
     labels = connected_components(_links(pairs, nodes, content, threshold))
     for finer_registers, finer_band in FINER:
         left = _open_nodes(members, labels)
         if left.isEmpty():
             break
-        finer = content.join(left, "node", "left_semi").mapInArrow(lean(_sign_content(finer_registers, finer_band)), f"node {kind}, bands array<long>")
+        finer = content.join(left, "node", "left_semi").mapInArrow(lean(_sign_content(finer_registers, finer_band)), "node long, bands array<long>")
         members, pairs = _star(materialise(finer, "finer"), labels)
         links = _links(pairs, nodes, content, threshold)
         if not links.isEmpty():
@@ -373,9 +376,16 @@ def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS,
         if not links.isEmpty():
             labels = merge_labels(labels, links)
 
-    full = own.join(labels.withColumnRenamed("label", "class_id"), "node", "left").select("doc_id", F.coalesce("class_id", "node").alias("class_id"))
-    # rows of one id with different texts are one document: its class is the smallest
+    # rows of one id are one document, so its texts are in one class
+    several = materialise(own.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("most")).where("v <> most").select("doc_id", "v"), "several")
+    if not several.isEmpty():
+        labels = merge_labels(labels, own.join(several.hint("merge"), "doc_id").where("node <> v").select(F.col("node").alias("u"), "v"))
+    named = labels.join(equal.hint("merge"), "node").select("node", "label", "first")
+    least = materialise(named.groupBy("label").agg(F.min("first").alias("class_id")), "least")
+    by_node = materialise(labels.join(least.hint("merge"), "label").select("node", "class_id"), "by_node")
+    full = own.join(by_node.hint("merge"), "node", "left").select("doc_id", F.coalesce("class_id", "first").alias("class_id"))
     full = materialise(full.groupBy("doc_id").agg(F.min("class_id").alias("class_id")), "classes")
+    discard(equal, own, nodes, content, several, least, by_node)
     return docs.select(F.col(id_col).alias("doc_id")).join(full, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 

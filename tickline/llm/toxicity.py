@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -80,7 +82,10 @@ class Lexicon:
             elif weight > best.get(start, 0.0):
                 best[start] = weight
         if free and best:
-            best = {s: w for s, w in best.items() if not any(a <= s < b for a, b in free)}
+            # of the exceptions that begin at or before a match, the farthest end tells whether one covers it
+            free.sort()
+            begin, reach = [a for a, _ in free], list(accumulate((b for _, b in free), max))
+            best = {s: w for s, w in best.items() if s < begin[0] or reach[bisect_right(begin, s) - 1] <= s}
         return sum(best.values()), len(best), max(0, folded.count(" ") - 1)
 
 
