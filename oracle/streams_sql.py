@@ -27,4 +27,5 @@ def streams_sql() -> dict[str, str]:
         + f", {STATUS} SELECT b.kafka_topic, b.kafka_partition, b.kafka_offset, coalesce(j.status, 'quarantined') AS status, "
         "CASE WHEN j.status = 'late' THEN j.mark END AS high_water_ts FROM bronze b LEFT JOIN judged j USING (kafka_offset)",
         "stream_bars_join": sql(_select("bars")),
+        "bars_corrected": sql(_select("bars")),
     }

@@ -277,7 +277,7 @@ def test_rebuild_and_publish_drop_what_is_gone(spark, tmpdir_path):
     assert read() == [(3, "c"), (9, "b")]
 
 
-def test_compaction_bounds_and_sorts_files_and_keeps_new_ones(spark, tmpdir_path):
+def test_compaction_bounds_and_sorts_files_once(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "t")
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"), (F.col("id") % 2).alias("d"))
     df.repartition(9).write.partitionBy("d").parquet(path)
@@ -287,27 +287,44 @@ def test_compaction_bounds_and_sorts_files_and_keeps_new_ones(spark, tmpdir_path
         values = [r["v"] for r in spark.read.parquet(name).collect()]
         assert len(values) <= 1000 and values == sorted(values)
     assert spark.read.parquet(path).count() == 5000
-    assert not [n for n in os.listdir(path) if n.startswith(("_staging", "_compaction"))]
-    assert tables.expire(spark, path, 168) == 0 and tables.expire(spark, path, 0) == 1
-    assert spark.read.parquet(path).count() == 5000
+    files = sorted(spark.read.parquet(path).inputFiles())
+    assert tables.compact(spark, path, ["d"], rows_per_file=1000, sort_by=["v"]) == {"before": out["after"], "after": out["after"], "rewritten": 0}
+    assert sorted(spark.read.parquet(path).inputFiles()) == files  # a second run touches no file
 
 
-def test_broken_off_compaction_is_finished_by_the_next(spark, tmpdir_path, monkeypatch):
+def test_compaction_leaves_compact_partitions_alone(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "t")
+    df = spark.range(900).select(F.col("id").alias("v"), F.lit("t").alias("topic"), (F.col("id") % 3).alias("d"))
+    df.where("d = 0").coalesce(1).write.partitionBy("d", "topic").parquet(path)
+    df.where("d <> 0").repartition(5).write.mode("append").partitionBy("d", "topic").parquet(path)
+    df.where("d = 1").limit(0).write.mode("append").partitionBy("d", "topic").parquet(path)
+    spark.createDataFrame([(-1, "t", None)], "v long, topic string, d long").write.mode("append").partitionBy("d", "topic").parquet(path)
+    of = lambda d: sorted(f for f in spark.read.parquet(path).inputFiles() if f"/d={d}/" in f)
+    alone = of(0)
+    assert tables.fragmented(spark, path, ["d", "topic"]) == [1, 2]
+    assert tables.compact(spark, path, ["d", "topic"])["rewritten"] == 2
+    assert of(0) == alone and len(of(1)) == len(of(2)) == 1
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == list(range(-1, 900))
+    empty = os.path.join(tmpdir_path, "e")
+    df.limit(0).write.partitionBy("d", "topic").parquet(empty)
+    assert tables.compact(spark, empty, ["d", "topic"]) == {"before": 0, "after": 0, "rewritten": 0}
+
+
+def test_broken_off_compaction_leaves_a_whole_copy(spark, tmpdir_path, monkeypatch):
     path = os.path.join(tmpdir_path, "t")
     spark.range(1000).withColumn("d", F.col("id") % 3).repartition(6).write.partitionBy("d").parquet(path)
-    move, calls = tables._move, []
+    publish = tables.publish
 
-    def fails(spark, source, target):
-        calls.append(source)
-        if len(calls) == 20:
-            raise OSError("lost")
-        move(spark, source, target)
+    def fails(*args, **kw):
+        raise OSError("lost")
 
-    monkeypatch.setattr(tables, "_move", fails)
-    with pytest.raises(OSError):
+    monkeypatch.setattr(tables, "publish", fails)
+    with pytest.raises(tables.CompactionError) as broken:
         tables.compact(spark, path, ["d"])
-    monkeypatch.setattr(tables, "_move", move)
-    tables.compact(spark, path, ["d"])
+    copy = str(broken.value).rsplit(" ", 1)[1]
+    assert sorted(r["id"] for r in spark.read.parquet(copy).collect()) == list(range(1000))
+    monkeypatch.setattr(tables, "publish", publish)
+    assert tables.compact(spark, path, ["d"])["rewritten"] == 3
     assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(1000))
 
 

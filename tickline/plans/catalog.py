@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tickline.operators import bars as bars_ops
 from tickline.operators import ops, risk as risk_ops, serving
 from tickline.operators.silver import TICK_KEY, TRADE_KEY, dedupe, kind_rows
+from tickline.plans.corrections import QUERIES as CORRECTION_QUERIES
 from tickline.plans.lineage import Lineage
 from tickline.plans.periods import QUERIES as PERIOD_QUERIES
 from tickline.plans.pipeline import Pipeline
@@ -405,7 +406,7 @@ def q_publish_records(spark, sf_dir):
 
 
 def q_compact(spark, sf_dir):
-    """Write bars as many small files, compact to one file per date, read back."""
+    """Write bars as many small files, compact them, read back."""
     bars = _lin(spark, sf_dir).bars
     path = scratch_path(spark, "compact_ohlcv_1m")
     bars.repartition(16).write.mode("overwrite").partitionBy("trade_date").parquet(path)
@@ -505,4 +506,5 @@ QUERIES: dict[str, Query] = {
     **STORED_QUERIES,
     **STREAM_QUERIES,
     **PERIOD_QUERIES,
+    **CORRECTION_QUERIES,
 }

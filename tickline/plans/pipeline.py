@@ -369,24 +369,23 @@ MAINTAINED = {
 }
 
 
-def maintain(spark: SparkSession, lake: Lake, retention_hours: float = 168) -> dict[str, dict]:
-    """Compact the tables that grow by small files, and drop files replaced over ``retention_hours`` ago."""
+def maintain(spark: SparkSession, lake: Lake) -> dict[str, dict]:
+    """Compact the partitions with small files of the tables that grow by them."""
     done = {}
     for (layer, name), (partition_by, sort_by) in MAINTAINED.items():
         path = lake.path(layer, name)
         if tables.read_if_exists(spark, path, lake.fmt) is not None:
-            files = tables.compact(spark, path, partition_by, fmt=lake.fmt, sort_by=sort_by)
-            done[f"{layer}/{name}"] = files | {"expired": tables.expire(spark, path, retention_hours)}
+            done[f"{layer}/{name}"] = tables.compact(spark, path, partition_by, fmt=lake.fmt, sort_by=sort_by)
     return done
 
 
-def run_ops_daily(spark: SparkSession, lake: Lake, retention_hours: float = 168) -> dict:
+def run_ops_daily(spark: SparkSession, lake: Lake) -> dict:
     """Maintenance, then quarantine triage: counts by reason and the quarantine-rate gate."""
     from pyspark.sql.types import DateType, StructField, StructType
 
     from tickline.operators.silver import silver_schemas
 
-    maintenance = maintain(spark, lake, retention_hours)
+    maintenance = maintain(spark, lake)
     schemas = silver_schemas(spark)
     for name in ("quarantine_ticks", "quarantine_trades"):
         schemas[name] = StructType(schemas[name].fields + [StructField("ingest_date", DateType())])

@@ -3,8 +3,6 @@ publish, compaction, and append-only audit tables."""
 
 from __future__ import annotations
 
-import json
-import time
 import uuid
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -14,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickline.schemas import DQ_RESULT_SCHEMA
+from tickline.session import scratch_path
 
 
 @dataclass(frozen=True)
@@ -147,13 +146,15 @@ def publish(
     rows_per_file: int = ROWS_PER_FILE,
     only: list | None = None,
     observed: Observation | None = None,
+    sort_by: list[str] | None = None,
 ) -> str:
     """Make the table hold exactly ``df``; loading it twice is loading it once.
 
     With ``only``, values of the first partition column, exactly those
     partitions are replaced: rows of ``df`` elsewhere are left out, and a
     named partition without rows is emptied. ``observed`` gets the number of
-    ``rows`` written, counted above the clustering shuffle.
+    ``rows`` written, counted above the clustering shuffle. With ``sort_by``
+    the rows of each file are in that order.
     """
     spark, column = df.sparkSession, partition_by[0]
     if only is not None:
@@ -162,6 +163,8 @@ def publish(
     shaped = clustered(df, partition_by)
     if observed is not None:
         shaped = shaped.observe(observed, F.count(F.lit(1)).alias("rows"))
+    if sort_by is not None:
+        shaped = shaped.sortWithinPartitions(*partition_by, *sort_by)
     (
         shaped.write.format(fmt)
         .mode("overwrite")
@@ -177,7 +180,12 @@ def publish(
     return path
 
 
-_REPLACED = "_replaced"
+#: A partition is worth rewriting while its files hold less than half of this on average.
+SMALL_FILE = 8 << 20
+
+
+class CompactionError(RuntimeError):
+    """Spark's commit of a compaction failed; the rows are whole in the copy that the message names."""
 
 
 def _data_files(spark: SparkSession, path: str) -> list[str]:
@@ -196,26 +204,32 @@ def _data_files(spark: SparkSession, path: str) -> list[str]:
     return out
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a file; done already counts as done, so a broken-off switch can be finished."""
-    fs, make = _fs(spark, source)
-    if not fs.exists(make(source)):
-        return
-    fs.mkdirs(make(target).getParent())
-    if not fs.rename(make(source), make(target)):
-        raise OSError(f"cannot move {source} to {target}")
-
-
-def _switch(spark: SparkSession, path: str, journal: str) -> None:
-    """Move replaced files away and staged files in, as the journal says, then drop both helpers."""
-    plan = json.loads(spark.read.text(journal, wholetext=True).first()[0])
-    for name in plan["old"]:
-        _move(spark, f"{path}/{name}", f"{path}/{_REPLACED}/{plan['stamp']}/{name}")
-    for name in plan["new"]:
-        _move(spark, f"{plan['staging']}/{name}", f"{path}/{name}")
-    fs, make = _fs(spark, path)
-    fs.delete(make(plan["staging"]), True)
-    fs.delete(make(journal), True)
+def _listed(spark: SparkSession, path: str, partition_by: list[str]) -> DataFrame | None:
+    """Files and bytes of each partition, from a listing that opens no file; None for a table without files."""
+    listing = spark.read.format("binaryFile").load(path)
+    if not set(partition_by) <= set(listing.columns):
+        return None
+    return listing.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def fragmented(spark: SparkSession, path: str, partition_by: list[str], rows_per_file: int = ROWS_PER_FILE, fmt: str = "parquet", small_file: int = SMALL_FILE) -> list:
+    """Values of the first partition column that have a partition with twice the files it needs, or more.
+
+    What a partition needs follows from its bytes and, where these alone say
+    that there are too many files, from its rows. A null value isn't listed.
+    What reaches the driver is a row for each partition with small files.
+    """
+    listed = _listed(spark, path, partition_by)
+    if listed is None:
+        return []
+    listed = listed.withColumn("needed", F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(small_file))))
+    found = listed.where(F.col(partition_by[0]).isNotNull() & (F.col("files") >= 2 * F.col("needed"))).collect()
+    if not found:
+        return []
+    stored = spark.read.format(fmt).load(path).where(F.col(partition_by[0]).isin(*{r[0] for r in found}))
+    rows = {tuple(r)[:-1]: r["n"] for r in stored.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).collect()}
+    key = len(partition_by)
+    return sorted({r[0] for r in found if r["files"] >= 2 * -(-rows.get(tuple(r)[:key], 0) // rows_per_file)})
 
 
 def compact(
@@ -225,48 +239,40 @@ def compact(
     rows_per_file: int = ROWS_PER_FILE,
     fmt: str = "parquet",
     sort_by: list[str] | None = None,
+    small_file: int = SMALL_FILE,
 ) -> dict[str, int]:
-    """Rewrite a partitioned table into few, evenly sized, sorted files per partition.
-
-    The files that are there now are read and rewritten to a staging folder;
-    those very files are then exchanged for the staged ones, which keep their
-    size bound and order. Files appended meanwhile stay. A journal written
-    before the exchange lets the next call finish one that broke off.
-    Replaced files are kept, out of readers' sight, until ``expire`` deletes
-    them. Returns the file counts before and after.
+    """Rewrite the partitions that hold many small files; others aren't touched.
+
+    Their rows are copied to the shared scratch folder and published from
+    there, so Spark's own commit exchanges the files. Partitions whose files
+    changed while they were copied are left for the next run; a table has one
+    writer a partition while it is compacted. If the commit fails, the copy
+    stays and ``CompactionError`` names it. Returns the file counts before and
+    after, and how many values of the first partition column were rewritten.
     """
     path = path.rstrip("/")
     refuse_streamed(spark, path)
-    fs, make = _fs(spark, path)
-    pending = fs.globStatus(make(f"{path}/_compaction-*"))
-    for entry in pending or []:
-        _switch(spark, path, entry.getPath().toString())
-    old = _data_files(spark, path)
-    if not old:
-        return {"before": 0, "after": 0}
-    token = uuid.uuid4().hex[:8]
-    staging = f"{path}/_staging-{token}"
-    current = spark.read.format(fmt).option("basePath", path).load([f"{path}/{name}" for name in old])
-    shaped = clustered(current, partition_by).sortWithinPartitions(*partition_by, *(sort_by or []))
-    shaped.write.format(fmt).option("maxRecordsPerFile", rows_per_file).partitionBy(*partition_by).save(staging)
-    new = _data_files(spark, staging)
-    plan = {"old": old, "new": new, "staging": staging, "stamp": int(time.time())}
-    journal = f"{path}/_compaction-{token}"
-    spark.createDataFrame([(json.dumps(plan),)], "value string").coalesce(1).write.text(journal)
-    _switch(spark, path, journal)
-    return {"before": len(old), "after": len(new)}
-
-
-def expire(spark: SparkSession, path: str, hours: float = 168) -> int:
-    """Delete files that compaction replaced over ``hours`` ago; how many compactions' files went."""
-    fs, make = _fs(spark, path)
-    root = make(f"{path.rstrip('/')}/{_REPLACED}")
-    if not fs.exists(root):
-        return 0
-    old = [e.getPath() for e in fs.listStatus(root) if int(e.getPath().getName()) <= time.time() - hours * 3600]
-    for entry in old:
-        fs.delete(entry, True)
-    return len(old)
+    column = partition_by[0]
+    count = lambda: (lambda t: 0 if t is None else t.agg(F.sum("files")).first()[0] or 0)(_listed(spark, path, partition_by))
+    before = count()
+    touched = fragmented(spark, path, partition_by, rows_per_file, fmt, small_file)
+    if not touched:
+        return {"before": before, "after": before, "rewritten": 0}
+    files = _files_of(spark, path, column, touched)
+    copy = scratch_path(spark, "compact")
+    current = spark.read.format(fmt).load(path)
+    current.where(F.col(column).isin(*touched)).write.format(fmt).partitionBy(*partition_by).save(copy)
+    now = _files_of(spark, path, column, touched)
+    steady = [v for v in touched if files.get(str(v)) == now.get(str(v))]
+    if steady:
+        copied = spark.read.schema(current.schema).format(fmt).load(copy)
+        try:
+            publish(copied, path, partition_by, fmt, rows_per_file, only=steady, sort_by=sort_by or [])
+        except Exception as e:
+            raise CompactionError(f"compaction of {path} broke off; the rows of {column} in {steady} are whole in {copy}") from e
+    fs, make = _fs(spark, copy)
+    fs.delete(make(copy), True)
+    return {"before": before, "after": count(), "rewritten": len(steady)}
 
 
 def file_count(df: DataFrame) -> int:
