@@ -67,9 +67,11 @@ def q_bars_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = lin.bronze.where(F.col("kafka_offset") < REDELIVERY_OFFSET).agg(F.max("kafka_offset")).first()[0] or 0
     late = F.col("kafka_offset") > top * 9 // 10
     kept = CorrectedBars(spark, root)
-    silver = lin.silver
+    lin.silver.ticks.write.parquet(f"{root}/ticks")
+    lin.silver.trades.write.parquet(f"{root}/trades")
+    ticks, trades = spark.read.parquet(f"{root}/ticks"), spark.read.parquet(f"{root}/trades")
     for batch_id, rows in ((0, ~late), (1, late), (1, late)):
-        kept.apply(batch_id, silver.ticks.where(rows), silver.trades.where(rows))
+        kept.apply(batch_id, ticks.where(rows), trades.where(rows))
     bars = kept.bars()
     return bars.select([F.round(c, STREAM_ROUND[c]) + F.lit(0.0) if c in STREAM_ROUND else F.col(c) for c in bars.columns]).toDF(*bars.columns)
 
