@@ -1,6 +1,7 @@
 """Operators against brute force on small tables with awkward rows."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickline.llm import decontam, license_digest, line_dedup, probminhash, quality_rules, substring_dedup, warc
+from tickline.llm.common import materialise
 from tickline.llm.license_texts import ISC, MIT
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lam mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
@@ -377,3 +379,34 @@ def test_assembly_ignores_orphans_and_counts_repeats(spark):
     ]
     out = warc.assemble(spark.createDataFrame(rows, warc.RECORD)).collect()
     assert [(r["capture_id"], r["request"]["record_id"], r["n_requests"], r["n_metadata"], r["metadata"]) for r in out] == [("r1", "q1", 2, 0, None)]
+
+
+def test_near_misses_of_a_large_group_are_no_rows(spark, monkeypatch):
+    """Texts all just below the threshold: their pairs are verified where they meet, so no table grows with their square."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for k in range(150):
+        words = list(base)
+        for at in rng.sample(range(5, 195, 5), 3):
+            words[at] = f"x{k}_{at}"
+        texts.append(" ".join(words))
+    texts.append(texts[0] + " tail")  # one true pair among them
+    stored = {}
+
+    def keep(df, name):
+        out = materialise(df, name)
+        stored[name] = max(stored.get(name, 0), out.count() if {"u", "v"} <= set(out.columns) else 0)
+        return out
+
+    monkeypatch.setattr(probminhash, "materialise", keep)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in probminhash.classes(docs).collect()}
+    sets = [{tuple(t.split()[p : p + 5]) for p in range(len(t.split()) - 4)} for t in texts]
+    want = list(range(len(texts)))
+    near = [(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for _ in texts:
+        for i, j in near:
+            want[i] = want[j] = min(want[i], want[j])
+    assert got == dict(enumerate(want)) and got[150] == got[0]
+    assert max(stored.values()) < 24 * len(texts), stored

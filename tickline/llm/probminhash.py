@@ -15,7 +15,7 @@ Nodes of a bucket that then still holds several classes are signed again with
 more registers and longer bands, whose smaller buckets have centres of their
 own. The nodes of first buckets that are divided even then get an exact join:
 every two of them in different classes that can be similar share one of their
-rarest shingles (see ``_rare_pairs``); those whose sketches agree are verified. Classes
+rarest shingles (see ``_rare_links``); those whose sketches agree are verified. Classes
 are the connected components of the verified links. A link is missed only if
 its two ends share none of the first buckets, one in 5,000 at similarity 0.8.
 
@@ -52,6 +52,8 @@ _LIKELY = 0.4
 SKETCH = 512
 #: A block of the exact join has about so many nodes outside the shingle's largest class, and four times as many of all.
 _SALT_ROWS = 512
+#: A block that verifies has at most about so many shingles outside the largest class, and four times as many of all.
+_SALT_IDS = 1 << 20
 
 
 def shingles(words: Words, length: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,8 +244,8 @@ def _open_nodes(members: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(members.join(split, "bucket").select("node").distinct(), "open")
 
 
-def _rare_pairs(content: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``u, v`` of nodes in different classes that may be similar: all that reach ``threshold``.
+def _rare_links(content: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
+    """Links ``u, v`` of nodes in different classes, by which all pairs that reach ``threshold`` are joined.
 
     Shingles that hold the shares ``a`` and ``b`` of two nodes' weights in
     common bound J_P by ``1 / (1 / a + 1 / b - 1)``. In one order of all
@@ -251,8 +253,10 @@ def _rare_pairs(content: DataFrame, labels: DataFrame, threshold: float) -> Data
     ``1 - b`` of the nodes' weights before it; a pair meets there if these
     shares allow the threshold. The largest class of a shingle's nodes is not
     compared with itself, and the nodes of a frequent shingle are dealt out in
-    blocks. A block compares its nodes' sketches in arrays and gives the likely
-    pairs alone, so what is emitted follows the similar pairs, not all that meet.
+    blocks. A block compares its nodes' sketches in arrays and gives the nodes
+    that have a likely partner; these meet once more with their shingles, are
+    verified there, and give links. Pairs just below the threshold, whose number
+    grows with the square of a group, are never rows.
     """
     rows = content.select("node", F.explode(F.arrays_zip("ids", "weights")).alias("s")).select("node", F.col("s.ids").alias("id"), F.col("s.weights").alias("weight"))
     often = materialise(rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
@@ -271,19 +275,40 @@ def _rare_pairs(content: DataFrame, labels: DataFrame, threshold: float) -> Data
     mixed = materialise(mixed.select("id", F.col("main.label").alias("main"), few_parts.alias("few_parts"), parts.alias("parts")), "mixed")
     shared = materialise(prefix.join(mixed.hint("merge"), "id").drop("reach"), "shared_prefix")
     # each node with its own shared prefix and a sketch, so that a task tells likely pairs without their shingles
-    kind = content.schema["node"].dataType.simpleString()
-    sketches = content.mapInArrow(lean(_sketch), f"node {kind}, sketch binary")
+    sketches = content.mapInArrow(lean(_sketch), f"node {content.schema['node'].dataType.simpleString()}, sketch binary")
     own = shared.groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("own")).join(sketches.hint("merge"), "node")
     rows = materialise(shared.join(own.hint("merge"), "node"), "sketched")
-    # read apart, so that the two sides of the grouping don't share column identities
-    again = content.sparkSession.read.schema(rows.schema).parquet(rows.scratch_path)
-    every = again.withColumn("part", F.pmod(F.hash("node"), F.col("parts"))).withColumn("few_part", F.explode(F.sequence(F.lit(0), F.col("few_parts") - 1)))
-    few = rows.where("label <> main").withColumn("few_part", F.pmod(F.hash("node"), F.col("few_parts"))).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    columns = ["id", "few_part", "part", "node", "label", "main", "own", "sketch"]
-    blocks = few.select(columns).groupBy("id", "few_part", "part").cogroup(every.select(columns).groupBy("id", "few_part", "part"))
-    pair = T.StructType([T.StructField(c, content.schema["node"].dataType) for c in "uv"])
-    found = blocks.applyInArrow(_likely_in_block(threshold, pair), pair)
-    return materialise(found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "rare_pairs")
+    node = content.schema["node"].dataType
+    meeting = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", node), T.StructField("few", T.BooleanType())])
+    met = materialise(_blocks(rows.where("label <> main"), _again(rows)).applyInArrow(_meeting_in_block(threshold, meeting), meeting).distinct(), "met")
+    # the nodes that met a likely one come with their shingles, and are verified where they meet
+    size = met.join(content.select("node", F.size("ids").alias("size")).hint("merge"), "node")
+    side = [F.when(F.col("few") == flag, F.col("size")) for flag in (True, False)]
+    split = size.groupBy("id").agg(_parts(side[0], 1).alias("few_parts"), _parts(side[1], 4).alias("parts"))
+    near = rows.drop("few_parts", "parts").join(met.hint("merge"), ["id", "node"]).join(split.hint("merge"), "id").join(content.hint("merge"), "node")
+    near = materialise(near, "near")
+    link = T.StructType([T.StructField(c, node) for c in "uv"])
+    blocks = _blocks(near.where("few"), _again(near).where("not few"), "ids", "weights")
+    return materialise(blocks.applyInArrow(_links_in_block(threshold, link), link).distinct(), "rare_links")
+
+
+def _again(table: DataFrame) -> DataFrame:
+    """A stored table read apart, so that the two sides of a grouping don't share column identities."""
+    return table.sparkSession.read.schema(table.schema).parquet(table.scratch_path)
+
+
+def _parts(size: Column, more: int) -> Column:
+    """How many parts one side of a block is dealt into, by its rows and their shingles; ``size`` is null for others."""
+    ids = F.coalesce(F.sum(size), F.lit(0).cast("long"))
+    return F.greatest(F.floor(F.count(size) / (more * _SALT_ROWS)), F.floor(ids / (more * _SALT_IDS))).cast("int") + 1
+
+
+def _blocks(few: DataFrame, every: DataFrame, *more: str):
+    """A shingle's nodes outside its largest class (``few``) and ``every`` node of it, grouped together block by block."""
+    few = few.withColumn("few_part", F.pmod(F.hash("node"), F.col("few_parts"))).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    every = every.withColumn("part", F.pmod(F.hash("node"), F.col("parts"))).withColumn("few_part", F.explode(F.sequence(F.lit(0), F.col("few_parts") - 1)))
+    columns = ["id", "few_part", "part", "node", "label", "main", "own", "sketch", *more]
+    return few.select(columns).groupBy("id", "few_part", "part").cogroup(every.select(columns).groupBy("id", "few_part", "part"))
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,47 +323,96 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in sig], type=pa.binary())], names=["node", "sketch"])
 
 
-def _likely_in_block(threshold: float, schema: T.StructType):
-    """Pairs of a block, in different classes, whose sketches agree as those of similar nodes do.
+class _Block:
+    """Both sides of a block, and the pairs in different classes whose sketches agree as those of similar nodes do.
 
     At the threshold, the share of equal registers is below the cut (six
     standard deviations less) for one pair in 10**9. A pair that shares
     several shingles is given by the smallest of them alone.
     """
-    cut = (threshold - 6 * (threshold * (1 - threshold) / SKETCH) ** 0.5) * SKETCH
+
+    def __init__(self, few: pa.Table, every: pa.Table, threshold: float):
+        self.cut = (threshold - 6 * (threshold * (1 - threshold) / SKETCH) ** 0.5) * SKETCH
+        self.few, self.every = few, every
+        self.shingle = few.column("id")[0].as_py()
+        self.u, self.v = few.column("node").combine_chunks(), every.column("node").combine_chunks()
+        self.label_u, self.label_v = few.column("label").to_pylist(), every.column("label").to_pylist()
+
+    def alike(self) -> Iterator[tuple[int, list[int]]]:
+        """The places of each node of ``few`` and of its likely partners in ``every``."""
+        sketch = np.frombuffer(b"".join(self.every.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(self.v), SKETCH)
+        of_main = [x == y for x, y in zip(self.label_v, self.every.column("main").to_pylist(), strict=True)]
+        own_u, own_v = self.few.column("own").combine_chunks(), self.every.column("own").combine_chunks()
+        nodes_u, nodes_v = self.u.to_pylist(), self.v.to_pylist()
+        for i, mine in enumerate(self.few.column("sketch").to_pylist()):
+            likely = np.flatnonzero((sketch == np.frombuffer(mine, dtype=np.uint8)).sum(axis=1) >= self.cut).tolist()
+            # two nodes outside the main class meet twice: once is enough
+            likely = [j for j in likely if self.label_v[j] != self.label_u[i] and (of_main[j] or nodes_u[i] < nodes_v[j])]
+            if likely:
+                own = own_u[i].values.to_numpy()
+                yield i, [j for j in likely if np.intersect1d(own, own_v[j].values.to_numpy(), assume_unique=True)[0] == self.shingle]
+
+
+def _meeting_in_block(threshold: float, kind: T.StructType):
+    """The nodes of a block that have a likely partner in it, for each side; rows at most as many as the block's."""
+    schema = to_arrow_schema(kind)
 
     def run(few: pa.Table, every: pa.Table) -> pa.Table:
-        picked_u: list[int] = []
-        picked_v: list[int] = []
         # a side without rows has no columns either
         if not few.num_rows or not every.num_rows:
-            return to_arrow_schema(schema).empty_table()
-        v = every.column("node").combine_chunks()
-        u = few.column("node").combine_chunks()
-        if len(u):
-            block = few.column("id")[0].as_py()
-            sketch = np.frombuffer(b"".join(every.column("sketch").to_pylist()), dtype=np.uint8).reshape(len(v), SKETCH)
-            label_u, label_v = few.column("label").to_pylist(), np.array(every.column("label").to_pylist(), dtype=object)
-            of_main = np.array([x == y for x, y in zip(label_v, every.column("main").to_pylist(), strict=True)])
-            own_v = every.column("own").combine_chunks()
-            nodes_u, nodes_v = u.to_pylist(), v.to_pylist()
-            for i, mine in enumerate(few.column("sketch").to_pylist()):
-                alike = np.flatnonzero((sketch == np.frombuffer(mine, dtype=np.uint8)).sum(axis=1) >= cut)
-                if not len(alike):
-                    continue
-                own = few.column("own")[i].values.to_numpy()
-                for j in alike.tolist():
-                    # two nodes outside the main class meet twice: once is enough
-                    if label_v[j] == label_u[i] or not (of_main[j] or nodes_u[i] < nodes_v[j]):
-                        continue
-                    if np.intersect1d(own, own_v[j].values.to_numpy(), assume_unique=True)[0] == block:
-                        picked_u.append(i)
-                        picked_v.append(j)
-        return pa.table({"u": u.take(pa.array(picked_u, type=pa.int64())), "v": v.take(pa.array(picked_v, type=pa.int64()))})
+            return schema.empty_table()
+        block = _Block(few, every, threshold)
+        left, right = [], set()
+        for i, partners in block.alike():
+            if partners:
+                left.append(i)
+                right.update(partners)
+        nodes = pa.concat_arrays([block.u.take(pa.array(left, type=pa.int64())), block.v.take(pa.array(sorted(right), type=pa.int64()))])
+        return pa.table([pa.array([block.shingle] * len(nodes), type=pa.int64()), nodes, pa.array([True] * len(left) + [False] * len(right), type=pa.bool_())], schema=schema)
+
+    return run
+
+
+def _links_in_block(threshold: float, kind: T.StructType):
+    """Pairs of a block whose exact similarity reaches the threshold, but none between nodes that the block's pairs join already."""
+    schema = to_arrow_schema(kind)
+
+    def run(few: pa.Table, every: pa.Table) -> pa.Table:
+        if not few.num_rows or not every.num_rows:
+            return schema.empty_table()
+        block = _Block(few, every, threshold)
+        ids_u, weights_u, ids_v, weights_v = (_lists(t.column(c)) for t in (few, every) for c in ("ids", "weights"))
+        joined: dict = {}
+
+        def top(label):
+            while label in joined:
+                label = joined[label]
+            return label
+
+        picked_u: list[int] = []
+        picked_v: list[int] = []
+        for i, partners in block.alike():
+            for j in partners:
+                a, b = top(block.label_u[i]), top(block.label_v[j])
+                if a != b and probability_jaccard(ids_u[i], weights_u[i], ids_v[j], weights_v[j]) >= threshold - 1e-12:
+                    joined[max(a, b)] = min(a, b)
+                    picked_u.append(i)
+                    picked_v.append(j)
+        return pa.table([block.u.take(pa.array(picked_u, type=pa.int64())), block.v.take(pa.array(picked_v, type=pa.int64()))], schema=schema)
 
     return run
 
 
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The values of each row of a list column."""
+    flat, offsets = [], [0]
+    for chunk in column.chunks:
+        flat.append(chunk.flatten().to_numpy(zero_copy_only=False))
+        offsets.extend((np.diff(chunk.offsets.to_numpy()).cumsum() + offsets[-1]).tolist())
+    whole = np.concatenate(flat)
+    return [whole[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
 def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS, band: int = BAND, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, class_id``: the smallest id of the document's near-duplicate class; a row for each row of ``docs``."""
     text: Column = F.col(text_col)
@@ -372,7 +446,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, registers: int = REGISTERS,
     left = _open_nodes(first, labels)
     if not left.isEmpty():
         rest = materialise(content.join(left.hint("merge"), "node", "left_semi"), "rest")
-        links = _verified(_rare_pairs(rest, labels, threshold), rest, threshold)
+        links = _rare_links(rest, labels, threshold)
         if not links.isEmpty():
             labels = merge_labels(labels, links)
 
