@@ -4,10 +4,12 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tickline.llm import pu_quality, sp_sampling, toxicity
+from tickline.llm.common import mix
 from tickline.llm.components import connected_components, merge_labels
 from tickline.llm.queries import QUERIES
 
@@ -169,3 +171,23 @@ def test_small_share_of_a_huge_table_is_not_none(spark):
     rows = spark.range(20_000_000).where(sampled(F.xxhash64("id"), 12_000 / 2.4e10))
     assert 2 <= rows.count() <= 30
     assert spark.range(1000).where(sampled(F.xxhash64("id"), 3.0)).count() == 1000
+
+
+def test_sampling_hashes_in_few_calls(monkeypatch):
+    """Draws and pieces are hashed array by array, not row by row or piece by piece."""
+    calls = []
+
+    def counted(x):
+        calls.append(len(x))
+        return mix(x)
+
+    monkeypatch.setattr(sp_sampling, "mix", counted)
+    texts = [f"some words of text number {i} and {i * 7}" for i in range(500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(500)), "text": texts, "seed": [i * 7919 for i in range(500)]})
+    with open(sp_sampling.DEFAULT_MODEL, "rb") as f:
+        model = f.read()
+    sp_sampling.vocabulary.cache_clear()
+    out = list(sp_sampling._sampler(model, 3, "rank", False)(iter([batch])))
+    assert sum(b.num_rows for b in out) == 1500
+    assert all(x for b in out for x in b.column("round_trip").to_pylist())
+    assert len(calls) < 2000

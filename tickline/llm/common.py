@@ -130,11 +130,12 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """SplitMix64 finaliser, elementwise on uint64."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))  # an array of its own, so what follows is done in place
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 mix = _mix

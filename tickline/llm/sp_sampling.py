@@ -76,15 +76,13 @@ class Vocabulary:
             rank[order] = np.arange(len(order))
             given = -np.log(rank + 2.0)
         self.unknown = float(given.min()) - 10.0
-        by_length: dict[int, list[tuple[int, int, float]]] = {}
+        by_length: dict[int, list[tuple[int, float]]] = {}
         shared = set()
         for i, weight in zip(normal, given.tolist(), strict=True):
-            codes = np.frombuffer(names[i].encode("utf-32-le"), dtype=np.uint32)
-            if len(codes) > 1:
-                shared.update(codes.tolist())
-            by_length.setdefault(len(codes), []).append((int(_spans(codes)[0](np.array([0]), len(codes))[0]), i, weight))
-            inner = names[i].lstrip("▁")
-            if "▁" in inner:
+            if len(names[i]) > 1:
+                shared.update(map(ord, names[i]))
+            by_length.setdefault(len(names[i]), []).append((i, weight))
+            if "▁" in names[i].lstrip("▁"):
                 raise ValueError(f"piece {names[i]!r} goes on after a blank mark; its lattice isn't a chain of words")
         self.longest = max(by_length)
         self.prefix = {}
@@ -94,9 +92,11 @@ class Vocabulary:
             self.prefix[length] = _flags(_spans(codes)[0](np.arange(len(heads)) * length, length))
         self.table, self.likely = {}, {}
         for length, own in by_length.items():
-            own.sort()
-            self.likely[length] = _flags(np.array([k for k, _, _ in own], dtype=np.uint64))
-            self.table[length] = (np.array([k for k, _, _ in own], dtype=np.uint64), np.array([i for _, i, _ in own], dtype=np.int32), np.array([w for _, _, w in own]))
+            codes = np.frombuffer("".join(names[i] for i, _ in own).encode("utf-32-le"), dtype=np.uint32)
+            keys = _spans(codes)[0](np.arange(len(own)) * length, length)
+            order = np.argsort(keys, kind="stable")
+            self.likely[length] = _flags(keys)
+            self.table[length] = (keys[order], np.array([i for i, _ in own], dtype=np.int32)[order], np.array([w for _, w in own])[order])
         self.joins = np.array(sorted(shared), dtype=np.uint32)
 
 
@@ -235,9 +235,21 @@ class Lattice:
         return edge
 
 
+def _numbered(seed: np.ndarray, number: int) -> np.ndarray:
+    return mix(seed + np.uint64(number * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+
+
+def _drawn(numbered: np.ndarray, place: np.ndarray) -> np.ndarray:
+    h = mix(numbered ^ place.view(np.uint64))
+    h >>= np.uint64(11)
+    u = h.astype(np.float64)
+    u += 0.5
+    u *= 2.0**-53
+    return u
+
+
 def _uniform(seed: np.ndarray, number: int, place: np.ndarray) -> np.ndarray:
-    h = mix(mix(seed + np.uint64(number * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) ^ place.astype(np.uint64))
-    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    return _drawn(_numbered(seed, number), place)
 
 
 class _Chunk:
@@ -284,11 +296,16 @@ class _Chunk:
     def sample(self, number: int, place: np.ndarray, edges: np.ndarray) -> None:
         """Draw on from each of ``place`` to its unit's end, and write the edges at their places."""
         lattice = self.lattice
+        seeds = _numbered(self.seeds, number)
+        # a unit's places share its row and its shift
+        row, unit = self.row[place], self.shift[place]
+        seed, begin = seeds[row], self.bounds[row]
         while len(place):
-            u = _uniform(self.seeds[self.row[place]], number, place - self.bounds[self.row[place]])
-            edge = lattice.draw(place + self.shift[place], u)
+            edge = lattice.draw(place + unit, _drawn(seed, place - begin))
             edges[place] = edge
-            place = (place + lattice.length[edge])[~lattice.final[edge]]
+            go = np.flatnonzero(~lattice.final[edge])
+            place = place[go] + lattice.length[edge[go]]
+            seed, begin, unit = seed[go], begin[go], unit[go]
 
 
 def _log_later(parent: float | np.ndarray, mass: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -356,8 +373,9 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
         mass = np.where(inside if emitted == 0 else place > cut[row], prefix + lattice.others[edge], -np.inf)
         for floor in (_FAR, -np.inf):
             near = np.flatnonzero(mass > floor)
-            value = _log_later(time[row[near]], mass[near], _uniform(c.seeds[row[near]], 3 * emitted + 2, place[near] - c.bounds[row[near]]))
-            best = _smallest(value, row[near], k - emitted)
+            own_row = row[near]
+            value = _log_later(time[own_row], mass[near], _drawn(_numbered(c.seeds, 3 * emitted + 2)[own_row], place[near] - c.bounds[own_row]))
+            best = _smallest(value, own_row, k - emitted)
             # a part below the floor comes later than this for any draw, so it isn't among the next ones
             if floor == -np.inf:
                 break
@@ -369,43 +387,39 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
             heapq.heappush(heaps[int(row[x])], (t, int(place[x]), (int(edge[x]),), float(prefix[x]), emitted))
         if emitted + 1 == k:
             break
-        nxt, start, chosen, parents = [], [], [], []
-        for r in live.tolist():
-            if not heaps[r]:
-                continue
-            t, p, without, before, parent = heapq.heappop(heaps[r])
-            node = p + int(c.shift[p])
-            a, b = int(lattice.first[node]), int(lattice.first[node + 1])
-            left = [e for e in range(a, b) if e not in without]
-            q = np.exp(lattice.logq[left])
-            u = float(_uniform(c.seeds[r : r + 1], 3 * emitted + 3, np.array([p - c.bounds[r]]))[0])
-            pick = left[min(int(np.searchsorted(np.cumsum(q), u * q.sum(), side="right")), len(left) - 1)]
-            time[r], cut[r], mass_at[r] = t, p, before
-            if len(left) > 1:  # what is left at the place of departure itself
-                rest = before + float(np.log(q.sum() - np.exp(lattice.logq[pick]) + 1e-300))
-                v = _uniform(c.seeds[r : r + 1], 3 * emitted + 4, np.array([p - c.bounds[r]]) + (1 << 40))
-                heapq.heappush(heaps[r], (float(_log_later(t, np.array([rest]), v)[0]), p, (*without, pick), before, emitted + 1))
-            nxt.append(r)
-            start.append(p)
-            chosen.append(pick)
-            parents.append(parent)
-        live = np.array(nxt, dtype=np.int64)
+        live = np.array([r for r in live.tolist() if heaps[r]], dtype=np.int64)
         if not len(live):
             break
-        start, chosen, parents = (np.array(x, dtype=np.int64) for x in (start, chosen, parents))
+        popped = [heapq.heappop(heaps[r]) for r in live.tolist()]
+        start = np.array([x[1] for x in popped], dtype=np.int64)
+        inside = start - c.bounds[live]
+        node = start + c.shift[start]
+        first, last = lattice.first[node].tolist(), lattice.first[node + 1].tolist()
+        u = _uniform(c.seeds[live], 3 * emitted + 3, inside).tolist()
+        v = _uniform(c.seeds[live], 3 * emitted + 4, inside + (1 << 40))
+        chosen = np.empty(len(live), dtype=np.int64)
+        rest = np.full(len(live), -np.inf)
+        for x, (_, _, without, before, _) in enumerate(popped):
+            left = [e for e in range(first[x], last[x]) if e not in without]
+            q = np.exp(lattice.logq[left])
+            pick = min(int(np.searchsorted(np.cumsum(q), u[x] * q.sum(), side="right")), len(left) - 1)
+            chosen[x] = left[pick]
+            if len(left) > 1:  # what is left at the place of departure itself
+                rest[x] = before + float(np.log(q.sum() - q[pick] + 1e-300))
+        time[live], cut[live], mass_at[live] = [x[0] for x in popped], start, [x[3] for x in popped]
+        later = _log_later(time[live], rest, v).tolist()
         edges = np.full(c.n, -1, dtype=np.int64)
+        begin = c.bounds[live].tolist()
+        for x, (r, (_, p, without, before, parent)) in enumerate(zip(live.tolist(), popped, strict=True)):
+            if rest[x] > -np.inf:
+                heapq.heappush(heaps[r], (later[x], p, (*without, int(chosen[x])), before, emitted + 1))
+            edges[begin[x] : p] = paths[parent][begin[x] : p]
         spot = np.full(rows, np.iinfo(np.int64).max)
         spot[live] = start
-        everywhere = np.arange(c.n)
-        for s in range(emitted + 1):
-            own = np.zeros(rows, dtype=bool)
-            own[live[parents == s]] = True
-            copy = own[c.row] & (everywhere < spot[c.row])
-            edges[copy] = paths[s][copy]
         edges[start] = chosen
         go = ~lattice.final[chosen]
-        later = c.unit[c.unit > spot[c.row[c.unit]]]
-        c.sample(10 + emitted, np.concatenate(((start + lattice.length[chosen])[go], later)), edges)
+        after = c.unit[c.unit > spot[c.row[c.unit]]]
+        c.sample(10 + emitted, np.concatenate(((start + lattice.length[chosen])[go], after)), edges)
     return out, np.array([-h[0][0] if h else -np.inf for h in heaps])
 
 
