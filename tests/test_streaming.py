@@ -179,3 +179,45 @@ def test_late_split_keeps_every_row(spark, tmpdir_path):
     assert sorted((r["event_type"], r["kafka_offset"]) for r in late) == [("tick", 3), ("tick", 6)]
     assert len(late) + len(on_time) == len(rows) + len(later) + 1
     assert sorted(os.listdir(f"{root}/high_water"))[-1] == "batch_id=2" and not os.path.exists(f"{root}/high_water/batch_id=0")
+
+
+def test_stream_bars_join_lands_even_slices_from_all_tasks(spark, tmp_path, monkeypatch):
+    """Two sessions with a night between: every slice has rows and several files, is one micro-batch, and state is cut by rows."""
+    from datetime import datetime, timedelta
+
+    from tickline.plans import streams
+    from tickline.plans.lineage import Lineage
+    from tickline.session import conf_set
+
+    day = datetime(2024, 1, 1)
+    rows = [(i, day + timedelta(seconds=43 * i), i % 30, ["view", "click", "purchase"][i % 3], float(i % 50), f'{{"k": {i % 100}}}') for i in range(4000)]
+    rows += [*rows[100:140], (4999, day, 1, "view", 1.0, None), (5000, None, 2, "purchase", 2.0, '{"k": 1}'), (5001, day, 3, "purchase", None, '{"k": 2}')]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    with conf_set(spark, spark__sql__shuffle__partitions="40"):
+        got = streams.q_stream_bars_join(spark, str(tmp_path))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    bars = Lineage(spark, str(tmp_path)).bars.select(*got.columns)
+    bars = bars.select([F.round(c, streams.STREAM_ROUND[c]) + F.lit(0.0) if c in streams.STREAM_ROUND else F.col(c) for c in bars.columns]).toDF(*got.columns)
+    assert got.count() == bars.count() > 1000
+    assert got.exceptAll(bars).isEmpty()
+
+    root = tmp_path / "stream_bars_join"
+    assert len(list((root / "bronze").glob("*.parquet"))) >= 4 * streams.SLICES
+    assert len([x for x in (root / "checkpoint" / "commits").iterdir() if x.name.isdigit()]) == streams.SLICES + 2
+    assert len([x for x in (root / "checkpoint" / "state" / "0").iterdir() if x.name.isdigit()]) <= spark.sparkContext.defaultParallelism
+    parts, n = streams.arrival_slices(Lineage(spark, str(tmp_path)).bronze)
+    sizes = [p.count() for p in parts]
+    assert sum(sizes) == n and min(sizes) > 0.8 * n / streams.SLICES
+
+
+def test_state_partitions_follow_the_rows(spark):
+    from tickline.plans.streams import STATE_ROWS, state_partitions
+    from tickline.session import conf_set
+
+    cores = spark.sparkContext.defaultParallelism
+    with conf_set(spark, spark__sql__shuffle__partitions="1000"):
+        assert state_partitions(spark, 0) == state_partitions(spark, cores * STATE_ROWS) == cores
+        assert state_partitions(spark, cores * STATE_ROWS + 1) == cores + 1
+        assert state_partitions(spark, 2000 * STATE_ROWS) == 1000

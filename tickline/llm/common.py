@@ -14,7 +14,6 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickline.session import checkpoint_root
+from tickline.session import checkpoint_root, conf_set
 
 CHUNK_BYTES = 1 << 20
 CHUNK_ROWS = 1 << 15
@@ -38,20 +37,6 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tickline-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-@contextmanager
-def conf_set(spark: SparkSession, **values: str) -> Iterator[None]:
-    """Set configuration keys (``__`` stands for a dot) and put the old values back."""
-    keys = {k.replace("__", "."): v for k, v in values.items()}
-    old = {k: spark.conf.get(k, None) for k in keys}
-    for k, v in keys.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickline.plans.lineage import Lineage
-from tickline.session import scratch_path
+from tickline.session import conf_set, scratch_path
 from tickline.sources.feed import REDELIVERY_OFFSET
 from tickline.streaming.incremental import stream_bars_join, stream_silver
 from tickline.streaming.keyed_state import start_status_stream
 
 SLICES = 4
 HEARTBEAT = "heartbeat"
+#: Rows of a slice that share a state partition.
+STATE_ROWS = 250_000
 #: Digits kept of doubles that depend on the order of addition.
 STREAM_ROUND = {"avg_spread_bps": 9, "notional": 6, "vwap": 9}
 
@@ -57,21 +59,52 @@ def heartbeat(bronze: DataFrame, after: str = "1 hour") -> DataFrame:
     return rows.select("raw_value", F.lit(HEARTBEAT).alias("kafka_topic"), F.lit(0).alias("kafka_partition"), F.lit(0).cast("bigint").alias("kafka_offset"), *stamps)
 
 
+def arrival_slices(bronze: DataFrame, slices: int = SLICES) -> tuple[list[DataFrame], int]:
+    """Bronze in order of arrival, cut into slices of about as many rows, and the number of rows."""
+    arrival = F.unix_micros("ingested_at")
+    n, inner = bronze.agg(F.count("ingested_at"), F.percentile_approx(arrival, [k / slices for k in range(1, slices)])).first()
+    bounds = [None, *(inner or []), None]
+    parts = []
+    for low, high in zip(bounds, bounds[1:]):
+        band = F.col("ingested_at").isNotNull()
+        band = band if low is None else band & (arrival >= low)
+        parts.append(bronze.where(band if high is None else band & (arrival < high)))
+    return parts, n
+
+
+def state_partitions(spark: SparkSession, rows: int) -> int:
+    """Partitions of the keyed state for slices of ``rows`` rows: the session's, unless fewer keep all cores busy.
+
+    Every partition of every stateful operator commits its files in every
+    micro-batch, with rows or without, and nothing coalesces them.
+    """
+    wanted = max(spark.sparkContext.defaultParallelism, -(-rows // STATE_ROWS))
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+
+
 def q_stream_bars_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze in order of arrival, a micro-batch a slice, joined into bars that all close."""
+    """Bronze in order of arrival, a micro-batch a slice, joined into bars that all close.
+
+    All tasks land a slice, so it is many files; the stream then takes all of
+    them as one micro-batch and goes on from its checkpoint after the next.
+    """
     lin, root = Lineage(spark, sf_dir), scratch_path(spark, "stream_bars_join")
-    first, last = lin.bronze.agg(F.min("ingested_at"), F.max("ingested_at")).first()
-    step = (last - first) / SLICES
-    for k in range(SLICES):
-        band = F.col("ingested_at") >= first + k * step
-        if k < SLICES - 1:
-            band = band & (F.col("ingested_at") < first + (k + 1) * step)
-        lin.bronze.where(band).coalesce(1).write.mode("append").parquet(f"{root}/bronze")
-    heartbeat(lin.bronze).coalesce(1).write.mode("append").parquet(f"{root}/bronze")
-    source = spark.readStream.schema(lin.bronze.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/bronze")
-    s = stream_silver(source)
-    writer = stream_bars_join(s["ticks"], s["trades"]).writeStream.format("parquet").outputMode("append")
-    writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/bars").awaitTermination()
+    slices, rows = arrival_slices(lin.bronze)
+
+    def run(close: bool) -> None:
+        source = spark.readStream.schema(lin.bronze.schema).parquet(f"{root}/bronze")
+        s = stream_silver(source)
+        writer = stream_bars_join(s["ticks"], s["trades"]).writeStream.format("parquet").outputMode("append")
+        # what a slice lets close comes out with the next one; only the last needs a micro-batch without rows
+        with conf_set(spark, spark__sql__streaming__noDataMicroBatches__enabled=str(close).lower()):
+            writer.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/bars").awaitTermination()
+
+    with conf_set(spark, spark__sql__shuffle__partitions=str(state_partitions(spark, -(-rows // len(slices))))):
+        for part in slices:
+            part.write.mode("append").parquet(f"{root}/bronze")
+            run(close=False)
+        heartbeat(lin.bronze).coalesce(1).write.mode("append").parquet(f"{root}/bronze")
+        run(close=True)
     bars = spark.read.parquet(f"{root}/bars")
     return bars.select([F.round(c, STREAM_ROUND[c]) + F.lit(0.0) if c in STREAM_ROUND else F.col(c) for c in bars.columns]).toDF(*bars.columns)
 
