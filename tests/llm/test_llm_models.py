@@ -191,3 +191,50 @@ def test_sampling_hashes_in_few_calls(monkeypatch):
     assert sum(b.num_rows for b in out) == 1500
     assert all(x for b in out for x in b.column("round_trip").to_pylist())
     assert len(calls) < 2000
+
+
+def test_piece_keys_with_equal_low_bits_are_told_apart():
+    from tickline.llm.sp_sampling import _LOW, _Keys
+
+    rng = np.random.default_rng(3)
+    keys = np.unique(np.concatenate((rng.integers(0, 1 << 63, 5000, dtype=np.uint64), (np.arange(1, 40, dtype=np.uint64) << np.uint64(18)) + np.uint64(7))))
+    rng.shuffle(keys)
+    wanted = np.concatenate((keys[::2], keys + np.uint64(1 << 40), np.array([7], dtype=np.uint64), keys))
+    hit, place = _Keys(keys).find(wanted, (wanted & _LOW).astype(np.int64))
+    at = {int(x): i for i, x in enumerate(keys)}
+    assert dict(zip(hit.tolist(), place.tolist(), strict=True)) == {i: at[int(x)] for i, x in enumerate(wanted) if int(x) in at}
+
+
+def test_short_texts_do_not_make_long_ones_draw_all_their_parts(monkeypatch):
+    """A text with few segmentations beside a long one: both get the samples they get alone, and the long one's far parts stay undrawn."""
+    from tickline.llm import sp_sampling as s
+
+    with open(s.DEFAULT_MODEL, "rb") as f:
+        v = s.vocabulary(f.read())
+    texts = [b"of", b" ".join(b"segmentation%d theory" % i for i in range(2000))]
+    seeds = np.array([11, 12], dtype=np.uint64)
+    drawn = []
+    later = s._log_later
+
+    def counted(parent, mass, u):
+        drawn.append(len(u))
+        return later(parent, mass, u)
+
+    monkeypatch.setattr(s, "_log_later", counted)
+
+    def sampled(rows):
+        data = np.frombuffer(b"".join(texts[r] for r in rows), dtype=np.uint8)
+        c = s._Chunk(v, data, np.cumsum([0, *[len(texts[r]) for r in rows]]), seeds[rows])
+        out = [{} for _ in rows]
+        for live, edges, _, gumbel in s._search(c, 3)[0]:
+            ids, bounds = s._ids(v, c, edges)
+            for x, r in enumerate(live.tolist()):
+                out[r].setdefault("ids", []).append(ids[bounds[r] : bounds[r + 1]].tolist())
+                out[r].setdefault("gumbel", []).append(float(gumbel[x]))
+        return out
+
+    both = sampled([0, 1])
+    assert sum(drawn) < 2000
+    for r, alone in enumerate((sampled([0])[0], sampled([1])[0])):
+        assert both[r]["ids"] == alone["ids"]
+        np.testing.assert_allclose(both[r]["gumbel"], alone["gumbel"], rtol=1e-9)

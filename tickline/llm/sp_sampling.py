@@ -30,6 +30,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,13 +91,11 @@ class Vocabulary:
             heads = {names[i][:length] for i in normal if len(names[i]) > length}
             codes = np.frombuffer("".join(sorted(heads)).encode("utf-32-le"), dtype=np.uint32)
             self.prefix[length] = _flags(_spans(codes)[0](np.arange(len(heads)) * length, length))
-        self.table, self.likely = {}, {}
+        self.table = {}
         for length, own in by_length.items():
             codes = np.frombuffer("".join(names[i] for i, _ in own).encode("utf-32-le"), dtype=np.uint32)
             keys = _spans(codes)[0](np.arange(len(own)) * length, length)
-            order = np.argsort(keys, kind="stable")
-            self.likely[length] = _flags(keys)
-            self.table[length] = (keys[order], np.array([i for i, _ in own], dtype=np.int32)[order], np.array([w for _, w in own])[order])
+            self.table[length] = (_Keys(keys), np.array([i for i, _ in own], dtype=np.int32), np.array([w for _, w in own]))
         self.joins = np.array(sorted(shared), dtype=np.uint32)
 
 
@@ -116,6 +115,35 @@ def _flags(keys: np.ndarray) -> np.ndarray:
     return out
 
 
+class _Keys:
+    """Places of 64-bit keys, addressed by their low bits; the few that share these stand in further layers."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.layers = []
+        left = np.arange(len(keys))
+        while len(left):
+            low, first = np.unique((keys[left] & _LOW).astype(np.int64), return_index=True)
+            layer = np.full(1 << 18, -1, dtype=np.int32)
+            layer[low] = left[first]
+            self.layers.append(layer)
+            left = np.delete(left, first)
+
+    def find(self, wanted: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``wanted`` (``low``: their low bits) are keys, and the keys' places."""
+        found, places = [], []
+        ask = None
+        for layer in self.layers:
+            place = layer[low if ask is None else low[ask]]
+            some = np.flatnonzero(place >= 0)
+            ask, place = some if ask is None else ask[some], place[some]
+            hit = self.keys[place] == wanted[ask]
+            found.append(ask[hit])
+            places.append(place[hit])
+            ask = ask[~hit]
+        return np.concatenate(found), np.concatenate(places)
+
+
 def _spans(codes: np.ndarray):
     """A function that hashes ``codes[at:at + length]`` for many places, and one for the next length."""
     vals = mix(codes.astype(np.uint64) + np.uint64(0x1F123BB5))
@@ -157,11 +185,9 @@ class Lattice:
             low = (acc & _LOW).astype(np.int64)
             if length in v.table:
                 keys, own_ids, own_weights = v.table[length]
-                maybe = np.flatnonzero(v.likely[length][low])
-                place = np.minimum(np.searchsorted(keys, acc[maybe]), len(keys) - 1)
-                hit = keys[place] == acc[maybe]
-                node = at[maybe[hit]]
-                found.append((length, node, own_ids[place[hit]], own_weights[place[hit]]))
+                hit, place = keys.find(acc, low)
+                node = at[hit]
+                found.append((length, node, own_ids[place], own_weights[place]))
                 count[node] += 1
             if length == 1:
                 spelt = np.flatnonzero(count == 0)
@@ -173,7 +199,7 @@ class Lattice:
         self.first = np.concatenate(([0], np.cumsum(count)))
         total = int(self.first[-1])
         self.node = np.repeat(np.arange(n), count)
-        self.length = np.empty(total, dtype=np.int64)
+        self.length = np.empty(total, dtype=np.int16)
         self.piece = np.empty(total, dtype=np.int32)
         weight = np.empty(total)
         free = self.first[:-1].copy()
@@ -181,34 +207,45 @@ class Lattice:
             spot = free[node]
             self.length[spot], self.piece[spot], weight[spot] = length, own_ids, own_weights
             free[node] += 1
-        self.final = rest[self.node] == self.length
+        far = rest[self.node]
+        self.final = far == self.length
+        #: how far an edge's end is, unless that is its unit's end
+        self.step = np.where(self.final, 0, self.length).astype(np.int16)
         # a tilt by length leaves shares as they are, and short units' masses inside the range of a double
         short = np.repeat(size <= _SHORT, size)[self.node]
         q = np.empty(total)
-        self._shares(np.flatnonzero(short), rest, np.exp(weight + _TILT * self.length), q, logs=False)
-        self._shares(np.flatnonzero(~short), rest, weight, q, logs=True)
+        tilted = _TILT * self.length
+        tilted += weight
+        np.exp(tilted, out=tilted)
+        self._shares(np.flatnonzero(short), far, tilted, q, logs=False)
+        self._shares(np.flatnonzero(~short), far, weight, q, logs=True)
         with np.errstate(divide="ignore"):
             self.logq = np.log(q)
         cum = np.cumsum(q)
         before = np.concatenate(([0.0], cum))[self.first[:-1]]
-        self.upto = cum - np.repeat(before, count)
-        self.upto[self.first[1:] - 1] = 2.0  # a node's last edge takes what is left
+        cum -= np.repeat(before, count)
+        cum[self.first[1:] - 1] = 2.0  # a node's last edge takes what is left
+        self.upto = cum
         # log of the mass of the other edges of an edge's node
+        np.minimum(q, 1.0, out=q)
+        np.negative(q, out=q)
         with np.errstate(divide="ignore"):
-            self.others = np.log1p(-np.minimum(q, 1.0))
+            self.others = np.log1p(q, out=q)
         self.others[self.first[:-1][count == 1]] = -np.inf
 
     def _shares(self, edges: np.ndarray, rest: np.ndarray, weight: np.ndarray, q: np.ndarray, logs: bool) -> None:
         """Each edge's share of its node's mass, the mass of all ways to the unit's end, from the ends backwards."""
         if not len(edges):
             return
-        beta = np.full(len(rest) + 1, 0.0 if logs else 1.0)
-        far = rest[self.node[edges]]
+        beta = np.full(len(self.first), 0.0 if logs else 1.0)
+        far = rest[edges]
         far = far.astype(np.uint16) if far.max() < 1 << 16 else far  # short keys are sorted in one pass
-        edges = edges[np.argsort(far, kind="stable")]
-        node, target, w, final = self.node[edges], (self.node + self.length)[edges], weight[edges], self.final[edges]
+        order = np.argsort(far, kind="stable")
+        edges, far = edges[order], far[order]
+        node, w, final = self.node[edges], weight[edges], self.final[edges]
+        target = node + self.length[edges]
         edge_of_node = np.concatenate(([True], node[1:] != node[:-1]))
-        steps = np.flatnonzero(np.concatenate(([True], np.diff(rest[node]) > 0, [True])))
+        steps = np.flatnonzero(np.concatenate(([True], far[1:] != far[:-1], [True])))
         share = np.empty(len(edges))
         for a, b in zip(steps[:-1].tolist(), steps[1:].tolist(), strict=True):
             heads = np.flatnonzero(edge_of_node[a:b])
@@ -303,8 +340,9 @@ class _Chunk:
         while len(place):
             edge = lattice.draw(place + unit, _drawn(seed, place - begin))
             edges[place] = edge
-            go = np.flatnonzero(~lattice.final[edge])
-            place = place[go] + lattice.length[edge[go]]
+            step = lattice.step[edge]
+            go = np.flatnonzero(step)
+            place = place[go] + step[go]
             seed, begin, unit = seed[go], begin[go], unit[go]
 
 
@@ -342,6 +380,7 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
     rows = len(c.bounds) - 1
     lattice = c.lattice
     some = np.flatnonzero(np.diff(c.bounds) > 0)
+    unit_row = c.row[c.unit]
     out = []
     heaps: list[list] = [[] for _ in range(rows)]
     paths: list[np.ndarray] = []
@@ -370,21 +409,27 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
         ends = np.append(heads[1:], len(place))
         out.append((live, edges, total, -time[live]))
         # parts of the popped regions: by the place where a segmentation leaves the emitted one
-        mass = np.where(inside if emitted == 0 else place > cut[row], prefix + lattice.others[edge], -np.inf)
+        parts = inside if emitted == 0 else place > cut[row]
+        lacking = np.zeros(rows, dtype=bool)
+        lacking[live] = True
         for floor in (_FAR, -np.inf):
-            near = np.flatnonzero(mass > floor)
+            near = np.flatnonzero(parts & (prefix > floor))  # a part weighs no more than its prefix
+            near = near[lacking[row[near]]]
+            mass = prefix[near] + lattice.others[edge[near]]
+            some = np.flatnonzero(mass > floor)
+            near, mass = near[some], mass[some]
             own_row = row[near]
-            value = _log_later(time[own_row], mass[near], _drawn(_numbered(c.seeds, 3 * emitted + 2)[own_row], place[near] - c.bounds[own_row]))
+            value = _log_later(time[own_row], mass, _drawn(_numbered(c.seeds, 3 * emitted + 2)[own_row], place[near] - c.bounds[own_row]))
             best = _smallest(value, own_row, k - emitted)
             # a part below the floor comes later than this for any draw, so it isn't among the next ones
-            if floor == -np.inf:
-                break
-            enough = np.zeros(rows, dtype=np.int64)
-            np.add.at(enough, row[near[best]][value[best] < _EARLIEST - _FAR], 1)
-            if (enough[live] >= k - emitted).all() or not (mass[mass <= floor] > -np.inf).any():
+            if floor > -np.inf:
+                early = value[best] < _EARLIEST - _FAR
+                lacking &= np.bincount(own_row[best[early]], minlength=rows) < k - emitted
+                best = best[~lacking[own_row[best]]]
+            for x, t in zip(near[best].tolist(), value[best].tolist(), strict=True):
+                heapq.heappush(heaps[int(row[x])], (t, int(place[x]), (int(edge[x]),), float(prefix[x]), emitted))
+            if not lacking.any():
                 break
-        for x, t in zip(near[best].tolist(), value[best].tolist(), strict=True):
-            heapq.heappush(heaps[int(row[x])], (t, int(place[x]), (int(edge[x]),), float(prefix[x]), emitted))
         if emitted + 1 == k:
             break
         live = np.array([r for r in live.tolist() if heaps[r]], dtype=np.int64)
@@ -397,15 +442,24 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
         first, last = lattice.first[node].tolist(), lattice.first[node + 1].tolist()
         u = _uniform(c.seeds[live], 3 * emitted + 3, inside).tolist()
         v = _uniform(c.seeds[live], 3 * emitted + 4, inside + (1 << 40))
+        much = lattice.first[node + 1] - lattice.first[node]
+        ends = np.cumsum(much)
+        q = np.exp(lattice.logq[np.repeat(lattice.first[node] - (ends - much), much) + np.arange(int(ends[-1]))]).tolist()
         chosen = np.empty(len(live), dtype=np.int64)
         rest = np.full(len(live), -np.inf)
-        for x, (_, _, without, before, _) in enumerate(popped):
+        spared = np.zeros(len(live))
+        for x, ((_, _, without, _, _), end) in enumerate(zip(popped, ends.tolist(), strict=True)):
             left = [e for e in range(first[x], last[x]) if e not in without]
-            q = np.exp(lattice.logq[left])
-            pick = min(int(np.searchsorted(np.cumsum(q), u[x] * q.sum(), side="right")), len(left) - 1)
+            upto, total = [], 0.0
+            for e in left:
+                total += q[end - last[x] + e]
+                upto.append(total)
+            pick = min(bisect_right(upto, u[x] * total), len(left) - 1)
             chosen[x] = left[pick]
             if len(left) > 1:  # what is left at the place of departure itself
-                rest[x] = before + float(np.log(q.sum() - q[pick] + 1e-300))
+                spared[x] = total - q[end - last[x] + left[pick]] + 1e-300
+        more = np.flatnonzero(spared)
+        rest[more] = np.array([x[3] for x in popped])[more] + np.log(spared[more])
         time[live], cut[live], mass_at[live] = [x[0] for x in popped], start, [x[3] for x in popped]
         later = _log_later(time[live], rest, v).tolist()
         edges = np.full(c.n, -1, dtype=np.int64)
@@ -418,7 +472,7 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
         spot[live] = start
         edges[start] = chosen
         go = ~lattice.final[chosen]
-        after = c.unit[c.unit > spot[c.row[c.unit]]]
+        after = c.unit[c.unit > spot[unit_row]]
         c.sample(10 + emitted, np.concatenate(((start + lattice.length[chosen])[go], after)), edges)
     return out, np.array([-h[0][0] if h else -np.inf for h in heaps])
 
