@@ -27,6 +27,17 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def no_views_left(request):
+    """Drop a test's temporary views (the memory sink's), which other tests would list."""
+    yield
+    if "spark" in request.fixturenames:
+        session = request.getfixturevalue("spark")
+        for t in session.catalog.listTables():
+            if t.isTemporary:
+                session.catalog.dropTempView(t.name)
+
+
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="tickline-test-")
