@@ -238,3 +238,109 @@ def test_short_texts_do_not_make_long_ones_draw_all_their_parts(monkeypatch):
     for r, alone in enumerate((sampled([0])[0], sampled([1])[0])):
         assert both[r]["ids"] == alone["ids"]
         np.testing.assert_allclose(both[r]["gumbel"], alone["gumbel"], rtol=1e-9)
+
+
+def _sampled_alone(texts, seeds, v=None):
+    """Ids, log-probability and perturbed value of three samples of each text, all in one chunk; without ``v`` from a lattice of its own."""
+    from tickline.llm import sp_sampling as s
+
+    if v is None:
+        with open(s.DEFAULT_MODEL, "rb") as f:
+            v = s.Vocabulary(f.read())
+    raw = [x.encode() for x in texts]
+    c = s._Chunk(v, np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)]), np.array(seeds, dtype=np.uint64))
+    out = [[] for _ in texts]
+    for live, path, log_prob, gumbel in s._search(c, 3)[0]:
+        ids, bounds = s._ids(v, c, path)
+        for x, r in enumerate(live.tolist()):
+            out[r].append((ids[bounds[r] : bounds[r + 1]].tolist(), float(log_prob[x]), float(gumbel[x])))
+    return out
+
+
+#: Units that end alike, a long one among them, with characters that have no piece.
+_ENDS = ["reading leading heading 1234567 \u96ea\U0001f600 caf\u00e9", "the leading " + "abcdefghij" * 6 + "ading reading", "ading " * 30, "", "  two  blanks\n"]
+
+
+def test_units_met_before_cost_no_new_edges(monkeypatch):
+    """Chunks share one lattice: what was met is not looked up again, and samples are those of a lattice of their own, bit by bit."""
+    from tickline.llm import sp_sampling as s
+
+    looked_up = []
+    spans = s._spans
+
+    def counted(codes):
+        looked_up.append(len(codes))
+        return spans(codes)
+
+    n = 12
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n * len(_ENDS))), "text": _ENDS * n, "seed": [i * 7919 for i in range(n * len(_ENDS))]})
+    with open(s.DEFAULT_MODEL, "rb") as f:
+        model = f.read()
+
+    def run(most):
+        s.vocabulary.cache_clear()
+        s.vocabulary(model, "rank")
+        monkeypatch.setattr(s, "_CHUNK", most)
+        monkeypatch.setattr(s, "_spans", counted)
+        looked_up.clear()
+        rows = pa.Table.from_batches(s._sampler(model, 3, "rank", False)(iter([batch]))).to_pylist()
+        monkeypatch.setattr(s, "_spans", spans)
+        return sorted((r["doc_id"], r["sample"], r["ids"], r["log_prob"], r["gumbel"], r["log_inclusion"], r["round_trip"]) for r in rows)
+
+    one = run(1 << 20)
+    assert len(looked_up) == 1 and all(r[-1] for r in one)
+    whole = looked_up[0]
+    many = run(sum(len(x.encode()) for x in _ENDS))
+    assert many == one and 1 <= len(looked_up) <= len(_ENDS) and sum(looked_up) <= 2 * whole
+    monkeypatch.setattr(s, "_EDGES", 1)
+    assert run(1) == one and len(looked_up) > n  # a lattice begun anew for each text
+    alone = _sampled_alone(_ENDS, [i * 7919 for i in range(len(_ENDS))])
+    assert [x[0] for own in alone for x in own] == [r[2] for r in one if r[0] < len(_ENDS) and r[2]]
+
+
+def test_ends_with_equal_hashes_are_told_apart(monkeypatch):
+    from tickline.llm import sp_sampling as s
+
+    want = _sampled_alone(_ENDS, range(len(_ENDS)))
+    hashes, salts = s._hashes, []
+    for weak in (lambda h: h & np.uint64(3), lambda h: np.zeros_like(h), lambda h: np.ones_like(h)):
+
+        def weakened(codes, kind, salt, weak=weak):
+            salts.append(salt)
+            h = hashes(codes, kind, salt)
+            return weak(h) if salt < 2 else h
+
+        monkeypatch.setattr(s, "_hashes", weakened)
+        assert _sampled_alone(_ENDS, range(len(_ENDS))) == want
+        assert max(salts) == 2
+        salts.clear()
+
+
+def test_log_probabilities_are_those_of_the_whole_lattice():
+    """Against sums over all segmentations, built from the model's pieces one by one, for short and long units that end alike."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=sp_sampling.DEFAULT_MODEL)
+    normal = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i)) and sp.id_to_piece(i)]
+    ranked = sorted(normal, key=lambda i: (-sp.get_score(i), i))
+    weight = {sp.id_to_piece(i): -np.log(r + 2.0) for r, i in enumerate(ranked)}
+    unknown = min(weight.values()) - 10.0
+    longest = max(map(len, weight))
+    with open(sp_sampling.DEFAULT_MODEL, "rb") as f:
+        v = sp_sampling.vocabulary(f.read())
+    for text, own in zip(_ENDS, _sampled_alone(_ENDS, range(7, 7 + len(_ENDS)), v), strict=True):
+        assert bool(text) == bool(own)
+        marked = "\u2581" + text.replace(" ", "\u2581")
+        mass = [0.0] * (len(marked) + 1)  # log of the sum over what follows
+        for a in range(len(marked) - 1, -1, -1):
+            ways = [weight[marked[a:b]] + mass[b] for b in range(a + 1, min(len(marked), a + longest) + 1) if marked[a:b] in weight]
+            if marked[a] not in weight:
+                ways.append(unknown + mass[a + 1])
+            mass[a] = float(np.logaddexp.reduce(ways))
+        for ids, log_prob, _ in own:
+            spelt = sum(sp.is_byte(i) for i in ids)
+            bare = [x for x in marked if x not in weight]
+            assert spelt <= sum(len(x.encode()) for x in bare)
+            pieces = sum(weight[sp.id_to_piece(i)] for i in ids if not sp.is_byte(i))
+            # a character without a piece stands alone, unless a longer piece holds it: here none does
+            np.testing.assert_allclose(log_prob, pieces + unknown * len(bare) - mass[0], rtol=1e-9, atol=1e-9)

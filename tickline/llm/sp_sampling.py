@@ -12,8 +12,8 @@ each part's value is a Gumbel of the part's mass, truncated at the popped one.
 No region that can't be among the next k is kept, so the search is exact.
 
 No piece goes on after a blank mark that follows other characters, so the
-lattice is a chain of independent units (words); equal units share their nodes
-inside a chunk. Draws are hashes of the row key, the draw's number and the
+lattice is a chain of independent units (words); equal ends of units share their
+nodes, also between chunks. Draws are hashes of the row key, the draw's number and the
 character position, so a row's samples don't depend on batches or partitions.
 
 Weights: a BPE model's scores are merge ranks, no log-probabilities; a piece of
@@ -44,7 +44,10 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = 0x2581
 _SHORT = 48
 _TILT = 3.0
-_CHUNK = 1 << 20
+_LONG = 1 << 40
+_CHUNK = 1 << 18
+#: A worker's lattice is begun anew once it has this many edges, of about 60 bytes each with their nodes.
+_EDGES = 2_000_000
 
 
 class Vocabulary:
@@ -67,9 +70,7 @@ class Vocabulary:
         for i in normal:
             raw[i] = names[i].encode()
         raw = [x.replace(b"\xe2\x96\x81", b" ") for x in raw]
-        self.size = np.array([len(x) for x in raw], dtype=np.int64)
-        self.at = np.concatenate(([0], np.cumsum(self.size)[:-1]))
-        self.raw = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        self.raw = pa.array(raw, type=pa.large_binary())
         given = np.array([sp.get_score(i) for i in normal])
         if scores == "rank":
             order = np.argsort(-given, kind="stable")
@@ -96,7 +97,20 @@ class Vocabulary:
             codes = np.frombuffer("".join(names[i] for i, _ in own).encode("utf-32-le"), dtype=np.uint32)
             keys = _spans(codes)[0](np.arange(len(own)) * length, length)
             self.table[length] = (_Keys(keys), np.array([i for i, _ in own], dtype=np.int32), np.array([w for _, w in own]))
-        self.joins = np.array(sorted(shared), dtype=np.uint32)
+        #: by code point: whether it stands in no piece with others
+        self.lone = np.ones(0x110000, dtype=bool)
+        self.lone[sorted(shared)] = False
+        self.lattice: Lattice | None = None
+
+    def nodes(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[Lattice, np.ndarray]:
+        """The nodes of the units that ``codes`` is made of, in a lattice that is kept until it has ``_EDGES`` edges."""
+        if self.lattice is None or self.lattice.n_edges >= _EDGES:
+            self.lattice = Lattice(self)
+        while True:
+            try:
+                return self.lattice, self.lattice.nodes(codes, start, size)
+            except _Clash:
+                self.lattice = Lattice(self, self.lattice.salt + 1)
 
 
 _LOW = np.uint64((1 << 18) - 1)
@@ -160,24 +174,167 @@ def _spans(codes: np.ndarray):
     return whole, follow
 
 
+class _Clash(Exception):
+    """Two different ends of units have one hash."""
+
+
+def _grown(a: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``a``, whose first ``used`` places are taken, with ``more`` behind these; room at least doubles."""
+    need = used + len(more)
+    if need > len(a):
+        wider = np.empty(max(need, 2 * len(a)), dtype=a.dtype)
+        wider[:used] = a[:used]
+        a = wider
+    a[used:need] = more
+    return a
+
+
+class _Numbers:
+    """Numbers of distinct 64-bit hashes in the order they were added; a table with open addressing."""
+
+    def __init__(self):
+        self.n = 0
+        self.keys = np.empty(1 << 12, dtype=np.uint64)
+        self.slot = np.full(1 << 13, -1, dtype=np.int32)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The number of each of ``wanted``, -1 where it has none."""
+        last = len(self.slot) - 1
+        at = (wanted & np.uint64(last)).astype(np.int64)
+        out = self.slot[at]
+        ask = np.flatnonzero((out >= 0) & (self.keys[out] != wanted))
+        while len(ask):
+            at[ask] = spot = (at[ask] + 1) & last
+            out[ask] = got = self.slot[spot]
+            ask = ask[(got >= 0) & (self.keys[got] != wanted[ask])]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Number ``keys``, which are distinct and have no number yet."""
+        self.keys = _grown(self.keys, self.n, keys)
+        left = np.arange(self.n, self.n + len(keys), dtype=np.int32)
+        self.n += len(keys)
+        if 2 * self.n > len(self.slot):
+            self.slot = np.full(1 << (3 * self.n).bit_length(), -1, dtype=np.int32)
+            left = np.arange(self.n, dtype=np.int32)
+        last = len(self.slot) - 1
+        at = (self.keys[left] & np.uint64(last)).astype(np.int64)
+        while len(left):
+            free = self.slot[at] < 0
+            self.slot[at[free]] = left[free]
+            go = np.flatnonzero(self.slot[at] != left)  # one that found its slot taken, or lost it to another
+            left, at = left[go], (at[go] + 1) & last
+
+
+def _hashes(codes: np.ndarray, kind: np.ndarray, salt: int) -> np.ndarray:
+    """A hash of each character and its kind; the sum of those from a place on tells a unit's end."""
+    x = kind.astype(np.uint64)
+    x <<= np.uint64(21)
+    x |= codes
+    x += np.uint64((0x2545F4914F6CDD1D + salt * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
+    x *= np.uint64(0xA24BAED4963EE407)
+    return mix(x)
+
+
 class Lattice:
-    """Edges of a set of units, with forward-sampling probabilities.
+    """Edges of the units met so far, with forward-sampling probabilities.
 
-    Nodes are the units' characters, and one more node at each unit's end.
-    ``first[v]:first[v + 1]`` are the edges of node ``v``.
+    A node stands for what is left of a unit from a character on, so units
+    share the nodes of equal ends; node 0 is the end itself. ``first[v]:first[v
+    + 1]`` are the edges of node ``v``. A node's values come from its own end
+    alone, whatever was met before. Ends are found by their hashes and compared
+    character by character.
     """
 
-    def __init__(self, vocabulary: Vocabulary, codes: np.ndarray, start: np.ndarray, size: np.ndarray):
-        v = vocabulary
-        self.start = start
-        n = len(codes)
-        unit_end = np.repeat(start + size, size)
-        rest = unit_end - np.arange(n)
+    def __init__(self, vocabulary: Vocabulary, salt: int = 0):
+        self.vocabulary, self.salt = vocabulary, salt
+        self.numbers = _Numbers()
+        self.numbers.add(np.zeros(1, dtype=np.uint64))
+        self.n_edges = self.n_kept = 0
+        #: characters of the units that were added
+        self.kept = np.empty(0, dtype=np.uint32)
+        # by node: an example's place in ``kept``, the kind, the node one character on, the mass, the first edge
+        self.at = np.zeros(1, dtype=np.int64)
+        self.kind = np.zeros(1, dtype=np.int64)
+        self.next = np.zeros(1, dtype=np.int32)
+        self.mass = np.ones(1)
+        self.first = np.zeros(2, dtype=np.int32)
+        # by edge: its node, the node that it leads to (0: the unit's end), the shares' logs,
+        # the sum of the shares before it at its node, the log of the other shares' sum
+        self.node = np.empty(0, dtype=np.int32)
+        self.to = np.empty(0, dtype=np.int32)
+        self.length = np.empty(0, dtype=np.int16)
+        self.piece = np.empty(0, dtype=np.int32)
+        self.logq = np.empty(0)
+        self.below = np.empty(0, dtype=np.uint64)
+        self.others = np.empty(0)
+
+    @staticmethod
+    def _kinds(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """How many characters are left of each character's unit, marked in long units."""
+        kind = np.repeat(start + size + np.where(size > _SHORT, _LONG, 0), size)
+        kind -= np.arange(len(kind))
+        return kind
+
+    def nodes(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The nodes of the units that ``codes`` is made of; those not met before are added."""
+        kind = self._kinds(start, size)
+        whole = np.add.reduceat(_hashes(codes, kind, self.salt), start)
+        node = self.numbers.find(whole)
+        new = np.flatnonzero(node < 0)
+        if len(new):
+            _, example, same = np.unique(whole[new], return_index=True, return_inverse=True)
+            example = new[example]
+            own = size[example]
+            before = np.cumsum(own) - own
+            node[new] = self._add(codes[np.repeat(start[example] - before, own) + np.arange(int(own.sum()))], before, own)[same]
+        if (self.kind[node] != kind[start]).any():
+            raise _Clash
+        place = np.repeat(self.at[node] - start, size)
+        place += np.arange(len(codes))
+        if (self.kept[place] != codes).any():
+            raise _Clash
+        return node
+
+    def _add(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Add the ends that are new among those of the given units; returns the units' nodes."""
+        kind = self._kinds(start, size)
+        run = np.zeros(len(codes) + 1, dtype=np.uint64)
+        np.cumsum(_hashes(codes, kind, self.salt), out=run[1:])
+        ends = np.repeat(run[start + size], size) - run[:-1]
+        node = self.numbers.find(ends)
+        new = np.flatnonzero(node < 0)
+        keys, example, same = np.unique(ends[new], return_index=True, return_inverse=True)
+        example = new[example]
+        # new nodes in the order in which their masses can be told: shorter ends first
+        order = np.argsort(kind[example], kind="stable")
+        example = example[order]
+        n = self.numbers.n
+        number = np.empty(len(order), dtype=np.int32)
+        number[order] = np.arange(n, n + len(order), dtype=np.int32)
+        node[new] = number[same]
+        self.numbers.add(keys[order])
+        after = np.append(node[1:], np.int32(0))
+        after[start + size - 1] = 0
+        self.kept = _grown(self.kept, self.n_kept, codes)
+        self.at = _grown(self.at, n, self.n_kept + example)
+        self.kind = _grown(self.kind, n, kind[example])
+        self.next = _grown(self.next, n, after[example])
+        self.n_kept += len(codes)
+        if (self.kind[node] != kind).any() or (self.kept[self.at[node]] != codes).any() or (self.next[node] != after).any():
+            raise _Clash
+        self._edges(codes, node, example, kind[example], n)
+        return node[start]
+
+    def _edges(self, codes: np.ndarray, nodes: np.ndarray, example: np.ndarray, kind: np.ndarray, n: int) -> None:
+        """Edges of the new nodes from ``n`` on, which begin at ``codes[example]``."""
+        v = self.vocabulary
+        rest = kind & (_LONG - 1)
         _, follow = _spans(codes)
-        at = np.arange(n)
-        acc = np.zeros(n, dtype=np.uint64)
+        own, at = np.arange(len(example)), example
+        acc = np.zeros(len(at), dtype=np.uint64)
         found = []
-        count = np.zeros(n, dtype=np.int64)
+        count = np.zeros(len(at), dtype=np.int64)
         for length in range(1, v.longest + 1):
             if not len(at):
                 break
@@ -186,89 +343,86 @@ class Lattice:
             if length in v.table:
                 keys, own_ids, own_weights = v.table[length]
                 hit, place = keys.find(acc, low)
-                node = at[hit]
-                found.append((length, node, own_ids[place], own_weights[place]))
-                count[node] += 1
+                found.append((length, own[hit], own_ids[place], own_weights[place]))
+                count[own[hit]] += 1
             if length == 1:
                 spelt = np.flatnonzero(count == 0)
                 found.append((1, spelt, np.full(len(spelt), -1, dtype=np.int32), np.full(len(spelt), v.unknown)))
                 count[spelt] += 1
-            go = np.flatnonzero((rest[at] > length) & v.prefix[length][low])
-            at, acc = at[go], acc[go]
+            go = np.flatnonzero((rest[own] > length) & v.prefix[length][low])
+            own, at, acc = own[go], at[go], acc[go]
         # edges in the order of their nodes, shorter ones first
-        self.first = np.concatenate(([0], np.cumsum(count)))
-        total = int(self.first[-1])
-        self.node = np.repeat(np.arange(n), count)
-        self.length = np.empty(total, dtype=np.int16)
-        self.piece = np.empty(total, dtype=np.int32)
+        first = np.concatenate(([0], np.cumsum(count)))
+        total = int(first[-1])
+        own = np.repeat(np.arange(len(count)), count)
+        lengths = np.empty(total, dtype=np.int16)
+        piece = np.empty(total, dtype=np.int32)
         weight = np.empty(total)
-        free = self.first[:-1].copy()
+        free = first[:-1].copy()
         for length, node, own_ids, own_weights in found:
             spot = free[node]
-            self.length[spot], self.piece[spot], weight[spot] = length, own_ids, own_weights
+            lengths[spot], piece[spot], weight[spot] = length, own_ids, own_weights
             free[node] += 1
-        far = rest[self.node]
-        self.final = far == self.length
-        #: how far an edge's end is, unless that is its unit's end
-        self.step = np.where(self.final, 0, self.length).astype(np.int16)
-        # a tilt by length leaves shares as they are, and short units' masses inside the range of a double
-        short = np.repeat(size <= _SHORT, size)[self.node]
-        q = np.empty(total)
-        tilted = _TILT * self.length
-        tilted += weight
-        np.exp(tilted, out=tilted)
-        self._shares(np.flatnonzero(short), far, tilted, q, logs=False)
-        self._shares(np.flatnonzero(~short), far, weight, q, logs=True)
+        final = rest[own] == lengths
+        to = nodes[np.minimum(example[own] + lengths, len(codes) - 1)]
+        to[final] = 0
+        self.mass = _grown(self.mass, n, np.zeros(len(count)))
+        q = self._shares(kind, first, count, weight, lengths, to, n)
+        e = self.n_edges
+        self.first = _grown(self.first, n + 1, e + first[1:])
+        self.node = _grown(self.node, e, n + own)
+        self.to = _grown(self.to, e, to)
+        self.length = _grown(self.length, e, lengths)
+        self.piece = _grown(self.piece, e, piece)
         with np.errstate(divide="ignore"):
-            self.logq = np.log(q)
-        cum = np.cumsum(q)
-        before = np.concatenate(([0.0], cum))[self.first[:-1]]
-        cum -= np.repeat(before, count)
-        cum[self.first[1:] - 1] = 2.0  # a node's last edge takes what is left
-        self.upto = cum
+            self.logq = _grown(self.logq, e, np.log(q))
+        # sums of integers: exact, so the edges of other nodes leave them alone
+        share = (q * 2.0**53).astype(np.uint64)
+        run = np.cumsum(share)
+        run -= share
+        self.below = _grown(self.below, e, run - np.repeat(run[first[:-1]], count))
         # log of the mass of the other edges of an edge's node
         np.minimum(q, 1.0, out=q)
         np.negative(q, out=q)
         with np.errstate(divide="ignore"):
-            self.others = np.log1p(q, out=q)
-        self.others[self.first[:-1][count == 1]] = -np.inf
+            others = np.log1p(q, out=q)
+        others[first[:-1][count == 1]] = -np.inf
+        self.others = _grown(self.others, e, others)
+        self.n_edges += total
 
-    def _shares(self, edges: np.ndarray, rest: np.ndarray, weight: np.ndarray, q: np.ndarray, logs: bool) -> None:
+    def _shares(self, kind: np.ndarray, first: np.ndarray, count: np.ndarray, weight: np.ndarray, lengths: np.ndarray, to: np.ndarray, n: int) -> np.ndarray:
         """Each edge's share of its node's mass, the mass of all ways to the unit's end, from the ends backwards."""
-        if not len(edges):
-            return
-        beta = np.full(len(self.first), 0.0 if logs else 1.0)
-        far = rest[edges]
-        far = far.astype(np.uint16) if far.max() < 1 << 16 else far  # short keys are sorted in one pass
-        order = np.argsort(far, kind="stable")
-        edges, far = edges[order], far[order]
-        node, w, final = self.node[edges], weight[edges], self.final[edges]
-        target = node + self.length[edges]
-        edge_of_node = np.concatenate(([True], node[1:] != node[:-1]))
-        steps = np.flatnonzero(np.concatenate(([True], far[1:] != far[:-1], [True])))
-        share = np.empty(len(edges))
+        # a tilt by length leaves shares as they are, and short units' masses inside the range of a double
+        tilted = _TILT * lengths
+        tilted += weight
+        np.exp(tilted, out=tilted)
+        share = np.empty(len(weight))
+        steps = np.flatnonzero(np.concatenate(([True], kind[1:] != kind[:-1], [True])))
         for a, b in zip(steps[:-1].tolist(), steps[1:].tolist(), strict=True):
-            heads = np.flatnonzero(edge_of_node[a:b])
-            own, much = node[a:b][heads], np.diff(np.append(heads, b - a))
-            if logs:
-                s = w[a:b] + np.where(final[a:b], 0.0, beta[target[a:b]])
+            i, j = int(first[a]), int(first[b])
+            heads, much = first[a:b] - i, count[a:b]
+            if kind[a] < _LONG:
+                s = tilted[i:j] * self.mass[to[i:j]]
+                mass = np.add.reduceat(s, heads)
+                share[i:j] = s / np.repeat(mass, much)
+            else:  # masses of long units are kept as logs
+                s = weight[i:j] + np.where(to[i:j] == 0, 0.0, self.mass[to[i:j]])
                 top = np.maximum.reduceat(s, heads)
                 mass = top + np.log(np.add.reduceat(np.exp(s - np.repeat(top, much)), heads))
-                share[a:b] = np.exp(s - np.repeat(mass, much))
-            else:
-                s = w[a:b] * np.where(final[a:b], 1.0, beta[target[a:b]])
-                mass = np.add.reduceat(s, heads)
-                share[a:b] = s / np.repeat(mass, much)
-            beta[own] = mass
-        q[edges] = share
-
-    def draw(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
-        """An edge of each node, by the edges' shares; nodes have few edges, so these are tried in turn."""
-        edge = self.first[node]
-        open_ = np.flatnonzero(self.upto[edge] <= u)
+                share[i:j] = np.exp(s - np.repeat(mass, much))
+            self.mass[n + a : n + b] = mass
+        return share
+
+    def draw(self, node: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """An edge of each node, by the edges' shares; nodes have few edges, so these are tried in turn from the longest."""
+        edge = self.first[node + 1]
+        edge -= 1
+        open_ = np.flatnonzero(self.below[edge] > x)
+        x = x[open_]
         while len(open_):
-            edge[open_] += 1
-            open_ = open_[self.upto[edge[open_]] <= u[open_]]
+            edge[open_] = down = edge[open_] - 1
+            go = np.flatnonzero(self.below[down] > x)
+            open_, x = open_[go], x[go]
         return edge
 
 
@@ -276,10 +430,15 @@ def _numbered(seed: np.ndarray, number: int) -> np.ndarray:
     return mix(seed + np.uint64(number * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
 
 
-def _drawn(numbered: np.ndarray, place: np.ndarray) -> np.ndarray:
+def _bits(numbered: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """53 random bits."""
     h = mix(numbered ^ place.view(np.uint64))
     h >>= np.uint64(11)
-    u = h.astype(np.float64)
+    return h
+
+
+def _drawn(numbered: np.ndarray, place: np.ndarray) -> np.ndarray:
+    u = _bits(numbered, place).astype(np.float64)
     u += 0.5
     u *= 2.0**-53
     return u
@@ -290,7 +449,7 @@ def _uniform(seed: np.ndarray, number: int, place: np.ndarray) -> np.ndarray:
 
 
 class _Chunk:
-    """The texts of a chunk as units over a shared lattice, and their sampled paths.
+    """The texts of a chunk as units over the vocabulary's lattice, and their sampled paths.
 
     Places are characters of the whole chunk; each text begins with the blank
     mark that SentencePiece puts before it.
@@ -308,42 +467,26 @@ class _Chunk:
         if not self.n:
             return
         blank = codes == _MARK
-        lone = ~np.isin(codes, vocabulary.joins)
+        lone = vocabulary.lone[codes]
         before = np.concatenate(([False], blank[:-1]))
         begin = (blank & ~before) | lone | np.concatenate(([True], lone[:-1]))
         begin[self.bounds[:-1][size > 0]] = True
         self.unit = np.flatnonzero(begin)
         self.unit_size = np.diff(np.append(self.unit, self.n))
-        self._share(vocabulary)
-
-    def _share(self, vocabulary: Vocabulary) -> None:
-        """Give equal units the same nodes; equal means a 64-bit hash and the size, inside this chunk."""
-        inside = np.arange(self.n) - np.repeat(self.unit, self.unit_size)
-        vals = mix(self.codes.astype(np.uint64) + np.uint64(0x2545F491)) * powers(np.uint64(0xA24BAED4963EE407), int(self.unit_size.max()))[inside]
-        h = mix(np.add.reduceat(vals, self.unit) + self.unit_size.astype(np.uint64))
-        _, example, kind = np.unique(h, return_index=True, return_inverse=True)
-        size = self.unit_size[example]
-        start = np.concatenate(([0], np.cumsum(size)[:-1]))
-        own = self.codes[np.repeat(self.unit[example] - start, size) + np.arange(int(size.sum()))]
-        self.lattice = Lattice(vocabulary, own, start, size)
-        self.unit_node = start[kind]
-        #: what to add to a place to get its lattice node
-        self.shift = np.repeat(self.unit_node - self.unit, self.unit_size)
-
-    def sample(self, number: int, place: np.ndarray, edges: np.ndarray) -> None:
+        self.unit_row = self.row[self.unit]
+        self.lattice, self.unit_node = vocabulary.nodes(codes, self.unit, self.unit_size)
+
+    def sample(self, number: int, place: np.ndarray, node: np.ndarray, row: np.ndarray, edges: np.ndarray) -> None:
         """Draw on from each of ``place`` to its unit's end, and write the edges at their places."""
         lattice = self.lattice
-        seeds = _numbered(self.seeds, number)
-        # a unit's places share its row and its shift
-        row, unit = self.row[place], self.shift[place]
-        seed, begin = seeds[row], self.bounds[row]
+        seed, begin = _numbered(self.seeds, number)[row], self.bounds[row]
         while len(place):
-            edge = lattice.draw(place + unit, _drawn(seed, place - begin))
+            edge = lattice.draw(node, _bits(seed, place - begin))
             edges[place] = edge
-            step = lattice.step[edge]
-            go = np.flatnonzero(step)
-            place = place[go] + step[go]
-            seed, begin, unit = seed[go], begin[go], unit[go]
+            to = lattice.to[edge]
+            go = np.flatnonzero(to)
+            place, node = place[go] + lattice.length[edge[go]], to[go]
+            seed, begin = seed[go], begin[go]
 
 
 def _log_later(parent: float | np.ndarray, mass: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -371,21 +514,20 @@ def _smallest(value: np.ndarray, row: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
+def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray]], np.ndarray]:
     """The emitted paths, best first, and each row's largest perturbed value that is left.
 
-    A path is given for all rows that have one more: the rows, the edges by
-    place (-1: none), and the rows' log-probabilities and perturbed values.
+    A path is given for all rows that have one more: the rows, the places and
+    the edges there, and the rows' log-probabilities and perturbed values.
     """
     rows = len(c.bounds) - 1
     lattice = c.lattice
     some = np.flatnonzero(np.diff(c.bounds) > 0)
-    unit_row = c.row[c.unit]
     out = []
     heaps: list[list] = [[] for _ in range(rows)]
     paths: list[np.ndarray] = []
-    edges = np.full(c.n, -1, dtype=np.int64)
-    c.sample(0, c.unit.copy(), edges)
+    edges = np.full(c.n, -1, dtype=np.int32)
+    c.sample(0, c.unit, c.unit_node, c.unit_row, edges)
     time = np.full(rows, np.inf)
     time[some] = np.log(-np.log(_uniform(c.seeds[some], 1, np.zeros(len(some), dtype=np.int64))))
     cut = c.bounds[:-1].copy()  # paths depart from their parents here
@@ -399,15 +541,14 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
         logq = lattice.logq[edge]
         inside = place >= cut[row]
         tail = np.where(inside, logq, 0.0)
-        run = np.cumsum(tail)
+        prefix = np.empty(len(place))
         heads = np.searchsorted(row, live)
-        base = np.concatenate(([0.0], run))[heads]
-        spread = np.zeros(rows)
-        spread[live] = base
-        prefix = run - tail - spread[row] + mass_at[row]
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(place)], strict=True):  # a row's sums are its own
+            np.cumsum(tail[a:b], out=prefix[a:b])
+        prefix -= tail
+        prefix += mass_at[row]
         total = np.add.reduceat(logq, heads)
-        ends = np.append(heads[1:], len(place))
-        out.append((live, edges, total, -time[live]))
+        out.append((live, (place, edge), total, -time[live]))
         # parts of the popped regions: by the place where a segmentation leaves the emitted one
         parts = inside if emitted == 0 else place > cut[row]
         lacking = np.zeros(rows, dtype=bool)
@@ -438,7 +579,7 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
         popped = [heapq.heappop(heaps[r]) for r in live.tolist()]
         start = np.array([x[1] for x in popped], dtype=np.int64)
         inside = start - c.bounds[live]
-        node = start + c.shift[start]
+        node = lattice.node[[x[2][0] for x in popped]]
         first, last = lattice.first[node].tolist(), lattice.first[node + 1].tolist()
         u = _uniform(c.seeds[live], 3 * emitted + 3, inside).tolist()
         v = _uniform(c.seeds[live], 3 * emitted + 4, inside + (1 << 40))
@@ -462,7 +603,7 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
         rest[more] = np.array([x[3] for x in popped])[more] + np.log(spared[more])
         time[live], cut[live], mass_at[live] = [x[0] for x in popped], start, [x[3] for x in popped]
         later = _log_later(time[live], rest, v).tolist()
-        edges = np.full(c.n, -1, dtype=np.int64)
+        edges = np.full(c.n, -1, dtype=np.int32)
         begin = c.bounds[live].tolist()
         for x, (r, (_, p, without, before, parent)) in enumerate(zip(live.tolist(), popped, strict=True)):
             if rest[x] > -np.inf:
@@ -471,17 +612,26 @@ def _search(c: _Chunk, k: int) -> tuple[list[tuple[np.ndarray, np.ndarray, np.nd
         spot = np.full(rows, np.iinfo(np.int64).max)
         spot[live] = start
         edges[start] = chosen
-        go = ~lattice.final[chosen]
-        after = c.unit[c.unit > spot[unit_row]]
-        c.sample(10 + emitted, np.concatenate(((start + lattice.length[chosen])[go], after)), edges)
+        to = lattice.to[chosen]
+        go = np.flatnonzero(to)
+        after = np.flatnonzero(c.unit > spot[c.unit_row])
+        c.sample(
+            10 + emitted,
+            np.concatenate(((start + lattice.length[chosen])[go], c.unit[after])),
+            np.concatenate((to[go], c.unit_node[after])),
+            np.concatenate((live[go], c.unit_row[after])),
+            edges,
+        )
     return out, np.array([-h[0][0] if h else -np.inf for h in heaps])
 
 
-def _ids(v: Vocabulary, c: _Chunk, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _ids(v: Vocabulary, c: _Chunk, path: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all rows' paths and the rows' bounds; characters without a piece become byte pieces."""
-    place = np.flatnonzero(edges >= 0)
-    piece = c.lattice.piece[edges[place]]
+    place, edge = path
+    piece = c.lattice.piece[edge]
     spelt = np.flatnonzero(piece < 0)
+    if not len(spelt):
+        return piece, np.searchsorted(place, c.bounds)
     codes = c.codes[place[spelt]]
     much = np.ones(len(place), dtype=np.int64)
     much[spelt] = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)
@@ -497,9 +647,10 @@ def _ids(v: Vocabulary, c: _Chunk, edges: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def decode_ids(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     """UTF-8 bytes of piece sequences ``ids[bounds[r]:bounds[r + 1]]``, without the blank before each text."""
-    size = v.size[ids]
-    begin = np.concatenate(([0], np.cumsum(size)))
-    raw = v.raw[np.repeat(v.at[ids] - begin[:-1], size) + np.arange(int(begin[-1]))].tobytes()
+    if not len(ids):
+        return [b""] * (len(bounds) - 1)
+    _, begin, raw = v.raw.take(pa.array(ids)).buffers()
+    begin, raw = np.frombuffer(begin, dtype=np.int64), raw.to_pybytes()
     cut = begin[bounds].tolist()
     return [raw[a + (raw[a : a + 1] == b" ") : b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
