@@ -298,6 +298,27 @@ def test_units_met_before_cost_no_new_edges(monkeypatch):
     assert [x[0] for own in alone for x in own] == [r[2] for r in one if r[0] < len(_ENDS) and r[2]]
 
 
+def test_a_worker_keeps_little_of_its_lattice():
+    """A worker waits for its next task without a lattice, also if a task is left early, and a task's own stays small."""
+    from tickline.llm import sp_sampling as s
+
+    with open(s.DEFAULT_MODEL, "rb") as f:
+        model = f.read()
+    v = s.vocabulary(model, "rank")
+    letters = np.random.default_rng(3).integers(97, 123, size=(32, 1 << 16), dtype=np.uint8)
+    letters[:, ::9] = 32
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(32)), "text": [x.tobytes().decode() for x in letters], "seed": list(range(32))})
+    run = s._sampler(model, 1, "rank", True)
+    edges = [v.lattice.n_edges for _ in run(iter([batch]))]
+    assert len(edges) >= 8 and sum(edges) > 2_000_000 and max(edges) < 1_500_000
+    assert v.lattice is None
+    left_early = run(iter([batch]))
+    next(left_early)
+    assert v.lattice is not None
+    left_early.close()
+    assert v.lattice is None
+
+
 def test_ends_with_equal_hashes_are_told_apart(monkeypatch):
     from tickline.llm import sp_sampling as s
 

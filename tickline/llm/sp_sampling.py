@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, mix, powers
+from .common import chunks, lean, mix, powers
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = 0x2581
@@ -47,7 +47,7 @@ _TILT = 3.0
 _LONG = 1 << 40
 _CHUNK = 1 << 18
 #: A worker's lattice is begun anew once it has this many edges, of about 60 bytes each with their nodes.
-_EDGES = 2_000_000
+_EDGES = 500_000
 
 
 class Vocabulary:
@@ -658,13 +658,16 @@ def decode_ids(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> list[bytes
 def _sampler(model: bytes, k: int, scores: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model, scores)
-        for batch in batches:
-            seeds = batch.column(batch.schema.get_field_index("seed")).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for i, j, data, offsets in chunks(batch, most=_CHUNK):
-                keys = batch.column(0).slice(i, j - i)
-                yield _emitted(v, _Chunk(v, data, offsets, seeds[i:j]), keys, data, offsets, k, digest)
-
-    return run
+        try:
+            for batch in batches:
+                seeds = batch.column(batch.schema.get_field_index("seed")).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                for i, j, data, offsets in chunks(batch, most=_CHUNK):
+                    keys = batch.column(0).slice(i, j - i)
+                    yield _emitted(v, _Chunk(v, data, offsets, seeds[i:j]), keys, data, offsets, k, digest)
+        finally:
+            v.lattice = None  # a worker outlives its tasks, and more workers than cores may wait for the next one
+
+    return lean(run)
 
 
 def _emitted(v: Vocabulary, c: _Chunk, keys: pa.Array, data: np.ndarray, offsets: np.ndarray, k: int, digest: bool) -> pa.RecordBatch:
